@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, quality, substring
+from . import ann, bpe, langid, minhash, quality, substring
 from .sampling import remainder
 
 #: Rank file and pattern of the default vocabulary come from this package.
@@ -46,6 +46,10 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), minhash.NearConfig(shingle=3, percent=85))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.repeated_words(table(spark, sf_dir, "documents").select("doc_id", "text"), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op4_language": op4_language,
     "op6_minhash": op6_minhash,
+    "op9_ann": op9_ann,
     "op10_substring": op10_substring,
 }
 
