@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, minhash, quality, substring
+from . import ann, bpe, langid, minhash, mixing, quality, sharding, substring
 from .sampling import remainder
 
 #: Rank file and pattern of the default vocabulary come from this package.
@@ -42,6 +42,16 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), minhash.NearConfig(shingle=3, percent=85))
 
@@ -60,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op4_language": op4_language,
     "op6_minhash": op6_minhash,
+    "op5_sharding": op5_sharding,
+    "op8_mixing": op8_mixing,
     "op9_ann": op9_ann,
     "op10_substring": op10_substring,
 }
