@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, minhash, mixing, quality, sharding, substring
-from .sampling import remainder
+from . import ann, bpe, langid, minhash, mixing, quality, rules, sharding, substring
+from .sampling import first_by_hash, remainder
 
 #: Rank file and pattern of the default vocabulary come from this package.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -34,6 +34,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = rules.RulesConfig()
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    judged = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), first_by_hash(good, "doc_id", config.trusted), config)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.LanguageModel.fit(langid.language_sample(docs.where(remainder("doc_id", 5) != 0)))
@@ -68,6 +75,7 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
+    "op3_rules": op3_rules,
     "op4_language": op4_language,
     "op6_minhash": op6_minhash,
     "op5_sharding": op5_sharding,
