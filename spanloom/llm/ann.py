@@ -40,11 +40,11 @@ class TreeConfig:
     sample: int = 20_000
     branching: int = 8
     #: Sampled vectors in a leaf, at most.
-    leaf: int = 32
+    leaf: int = 512
     iterations: int = 8
     #: Queries answered by brute force to calibrate the number of visits, and the recall wanted of them.
     trials: int = 96
-    recall: float = 0.97
+    recall: float = 0.95
     #: Vectors, and queries, of one leaf that one task compares.
     block: int = 4096
     seed: int = 3
