@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, minhash, mixing, quality, rules, sharding, substring
+from . import ann, bpe, langid, minhash, mixing, quality, rules, secrets, sharding, substring
 from .sampling import first_by_hash, remainder
 
 #: Rank file and pattern of the default vocabulary come from this package.
@@ -54,6 +54,20 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def spans_text(spans: str, kinds: tuple[str, ...]) -> Column:
+    """Spans as kind:start:end, joined by commas."""
+    own = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(own, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs), keep=("doc_id",))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.sha2(spans_text("spans", secrets.KINDS[:3]).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", number("assign"), number("access"), number("hex"), base, spans_text("spans", secrets.KINDS).alias("spans"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.documents.select("doc_id", "size", "source_size", "target", "taken")
@@ -79,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op6_minhash": op6_minhash,
     "op5_sharding": op5_sharding,
+    "op7_secrets": op7_secrets,
     "op8_mixing": op8_mixing,
     "op9_ann": op9_ann,
     "op10_substring": op10_substring,
