@@ -153,6 +153,7 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> Mixture:
     end = F.col("begin") + F.col("size")
     pieces = laid.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / size), F.floor((end - 1) / size))))
     words = F.least(end, (F.col("block") + 1) * size) - F.greatest("begin", F.col("block") * size)
-    taken = pieces.join(drawn, ["source_no", "block"], "left").groupBy("source_no", "begin", "doc_id", "source", "size", "source_size", "target").agg(F.sum(words * F.coalesce("times", F.lit(0))).alias("taken"))
+    # as many rows as blocks: without the hint it would be broadcast, its size being taken for that of the plan
+    taken = pieces.join(drawn.hint("merge"), ["source_no", "block"], "left").groupBy("source_no", "begin", "doc_id", "source", "size", "source_size", "target").agg(F.sum(words * F.coalesce("times", F.lit(0))).alias("taken"))
     none = laid.where("size = 0").select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     return Mixture(taken.select(*none.columns).unionByName(none), slots)
