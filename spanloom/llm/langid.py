@@ -171,7 +171,8 @@ def language_sample(docs: DataFrame, config: LanguageConfig = LanguageConfig())
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
     shares = known.groupBy("lang").agg((F.lit(config.rows_per_language) / F.count("*")).alias("share"))
     span = 1 << 30
-    thin = known.join(shares, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(config.seed)), F.lit(span)) < F.col("share") * span)
+    # one row for each language: the rows are not dealt by language, of which one may hold most
+    thin = known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(config.seed)), F.lit(span)) < F.col("share") * span)
     ids = first_by_hash(thin.select("doc_id", "lang").distinct(), "doc_id", config.rows)
     return docs.join(F.broadcast(ids), ["doc_id", "lang"]).select("text", "lang")
 
