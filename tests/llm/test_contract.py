@@ -142,3 +142,10 @@ def test_neighbours_found(spark, sf_dir):
 def test_substrings_equal_brute_force(spark, sf_dir, docs):
     rows = queries.op10_substring(spark, sf_dir).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows} == brute.substring_kept([(r["doc_id"], r["text"]) for r in docs])
+
+
+def test_substrings_equal_sql(spark, sf_dir):
+    from tests.compare import rows_of, sql_rows
+
+    df = queries.op10_substring(spark, sf_dir)
+    assert rows_of(df.columns, df.collect()) == sql_rows(sf_dir, queries.ORACLE_SQL["op10_substring"])
