@@ -38,6 +38,8 @@ class MixConfig:
     block: int = 128
     #: Output shards.
     shards: int = 64
+    #: Slots drawn at a time.
+    span: int = 1 << 20
     #: Weights of the sources in order, repeating, and the most passes over one source.
     weights: tuple[int, ...] = (1, 2, 3)
     passes: int = 3
@@ -146,7 +148,13 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> Mixture:
                         block[own] = permuted(slot[own] % n, n, seed + 31 * s + 1009 * int(turn))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), shard), pa.int32()), pa.array(slot), pa.array(np.full(len(slot), s), pa.int32()), pa.array(block)], ["shard", "slot", "source_no", "block"])
 
-    slots = spark.createDataFrame(plan, "shard int, source_no int, blocks long, start long, count long").repartition(config.shards, "shard").mapInArrow(draw, "shard int, slot long, source_no int, block long")
+    # a source's slots of a shard are cut into ranges of at most ``span`` slots, so no task draws more than a few of them
+    ranges = spark.createDataFrame(plan, "shard int, source_no int, blocks long, first long, slots long").select(
+        "shard", "source_no", "blocks", "slots", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(config.span).cast("long"))).alias("at")
+    )
+    ranges = ranges.select("shard", "source_no", "blocks", (F.col("first") + F.col("at")).alias("start"), F.least(F.lit(config.span), F.col("slots") - F.col("at")).alias("count"))
+    tasks = max(config.shards, sum(wanted) // (4 * config.span))
+    slots = ranges.repartition(int(tasks), "shard", "source_no", "start").mapInArrow(draw, "shard int, slot long, source_no int, block long")
 
     # join by index: the pieces of documents in blocks, and how often each block is taken
     drawn = slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
