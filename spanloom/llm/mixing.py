@@ -123,7 +123,7 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> Mixture:
     known = rows.join(F.broadcast(sources), rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
 
     # where each document's words begin within its source
-    salts = int(min(4096, max(1, sum(r["rows"] for r in listed) // 50_000)))
+    salts = int(min(1 << 20, max(64, sum(r["rows"] for r in listed) // 50_000)))
     known = known.withColumns({"place": F.xxhash64("doc_id", F.lit(config.seed))}).withColumn("salt", F.pmod("place", F.lit(salts)).cast("int"))
     earlier = Window.partitionBy("source_no").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = known.groupBy("source_no", "salt").agg(F.sum("size").alias("n")).select("source_no", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
