@@ -21,7 +21,7 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,20 +48,26 @@ class ByteBPE:
 
     def __init__(self, path: str, pattern: str):
         import regex
-        from tokenizers import models
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
         self.characters = byte_characters()
-        shown = lambda token: "".join(map(self.characters.__getitem__, token))
-        merges = sorted((rank, -cut, token[:cut], token[cut:]) for token, rank in ranks.items() for cut in range(1, len(token)) if token[:cut] in ranks and token[cut:] in ranks)
-        self.model = models.BPE(vocab={shown(t): r for t, r in ranks.items()}, merges=[(shown(a), shown(b)) for _, _, a, b in merges], ignore_merges=True, cache_capacity=0)
         self.table = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.table[rank] = token
         self.split = regex.compile(pattern).findall
         self.ids: dict[str, bytes] = {}
 
+    @cached_property
+    def model(self):
+        """The merging model; a worker that only decodes never builds it."""
+        from tokenizers import models
+
+        ranks = {token: rank for rank, token in enumerate(self.table) if token}
+        shown = lambda token: "".join(map(self.characters.__getitem__, token))
+        merges = sorted((rank, -cut, token[:cut], token[cut:]) for token, rank in ranks.items() for cut in range(1, len(token)) if token[:cut] in ranks and token[cut:] in ranks)
+        return models.BPE(vocab={shown(t): r for t, r in ranks.items()}, merges=[(shown(a), shown(b)) for _, _, a, b in merges], ignore_merges=True, cache_capacity=0)
+
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         merge, shown = self.model.tokenize, self.characters
         return {piece: array("I", [t.id for t in merge(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(shown))]).tobytes() for piece in new}
@@ -134,7 +140,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> Dat
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                rows = [bpe.decode(np.array(x or [], "<u4").tobytes()) for x in part[ids].to_pylist()]
+                rows = [bpe.decode(np.asarray(x.values, "<u4").tobytes()) if x.is_valid else b"" for x in part[ids]]
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in names], pa.array(rows, pa.binary())], [*names, "decoded"])
 
     return encoded.select(*names).mapInArrow(run, encoded.select(*names).withColumn("decoded", F.lit(b"")).schema)
