@@ -8,8 +8,9 @@ many are enough is calibrated: some queries are answered by brute force, and
 the number of visits widens until the leaves visited hold the wanted share of
 their true neighbours.
 
-Leaves with many vectors or many visiting queries are cut into blocks, so a
-vector that a third of all rows share makes more tasks, not a larger one.
+Equal rows are one before anything else.  Leaves with many vectors or many
+visiting queries are cut into blocks by id and vector, so neither a vector that
+many ids share nor an id with many vectors makes a large task.
 Distances are exact, in double precision, on the original vectors.
 
 Defined cases: vectors that are null, zero, of another length than most, or
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sampling import first_by_hash
+from .shared import stored
 
 FOUND = "query_id long, vec_id long, score double"
 
@@ -126,18 +128,20 @@ def _k_means(own: np.ndarray, k: int, iterations: int, rng: np.random.Generator)
 
 
 def _nearest(ids: np.ndarray, vectors: np.ndarray, queries: list[int], points: np.ndarray, k: int) -> pa.RecordBatch:
-    """The ``k`` nearest rows of a block to each query, itself left out."""
-    keep, q, v, s = np.arange(len(ids)), [], [], []
+    """The ``k`` nearest ids of a block to each query, itself left out, by the nearest row of each."""
+    q, v, s = [], [], []
+    order = np.argsort(ids, kind="stable")
+    ids, vectors = ids[order], vectors[order]
+    one, first = np.unique(ids, return_index=True)
     for query, point in zip(queries, points, strict=True):
         far = np.sqrt(((vectors - point) ** 2).sum(1))
-        rows = keep[ids != query]
-        if len(rows) > 4 * k:  # all that could be among the first k, with ties
-            rows = rows[far[rows] <= np.partition(far[rows], 4 * k - 1)[4 * k - 1]]
-        rows = rows[np.lexsort((ids[rows], far[rows]))]
-        _, first = np.unique(ids[rows], return_index=True)
-        rows = rows[np.sort(first)][:k]
+        far = np.minimum.reduceat(far, first) if len(one) < len(ids) else far
+        rows = np.flatnonzero(one != query)
+        if len(rows) > k:  # all that could be among the first k, with ties
+            rows = rows[far[rows] <= np.partition(far[rows], k - 1)[k - 1]]
+        rows = rows[np.lexsort((one[rows], far[rows]))][:k]
         q += [query] * len(rows)
-        v.append(ids[rows])
+        v.append(one[rows])
         s.append(far[rows])
     return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(np.concatenate(v) if v else [], pa.int64()), pa.array(np.concatenate(s) if s else [], pa.float64())], ["query_id", "vec_id", "score"])
 
@@ -149,11 +153,11 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, int]:
-    """vec_id and embedding (doubles) of the rows that take part, and their dimension."""
+    """vec_id and embedding (doubles) of the rows that take part, equal ones once, and their dimension."""
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null")
     rows = rows.where(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0))
     dim = rows.agg(F.mode(F.size("embedding"), True)).first()[0] or 0
-    return rows.where(F.size("embedding") == dim), dim
+    return rows.where(F.size("embedding") == dim).distinct(), dim
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -168,6 +172,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, config
     rows, dim = usable(vectors)
     if not dim:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows = stored(rows, "ann-rows")
     sample = np.array([r["embedding"] for r in first_by_hash(rows, "vec_id", config.sample).collect()])
     tree = KMeansTree.grow(sample, config)
     del sample
@@ -184,7 +189,11 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, config
                 yield _nearest(part["vec_id"].to_numpy(), _matrix(part["embedding"], dim), asked, points, k)
 
     truth = _top(rows.mapInArrow(brute, FOUND), k) if asked else None
-    true = truth.join(rows, "vec_id").select("query_id", "embedding").collect() if asked else []
+    true = []
+    if asked:  # of an id with several vectors, the one nearest to the query
+        at = F.broadcast(spark.createDataFrame(list(zip(asked, points.tolist(), strict=True)), "query_id long, point array<double>"))
+        far = F.aggregate(F.zip_with("embedding", "point", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+        true = truth.join(rows, "vec_id").join(at, "query_id").groupBy("query_id", "vec_id").agg(F.min_by("embedding", far).alias("embedding")).collect()
     leaves = tree.assign(np.array([r["embedding"] for r in true]).reshape(-1, dim))
     order = {q: {leaf: i + 1 for i, leaf in enumerate(tree.visits(p))} for q, p in zip(asked, points, strict=True)}
     needed = np.array([order[r["query_id"]][leaf] for r, leaf in zip(true, leaves, strict=True)])
@@ -214,7 +223,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, config
     sizes = index.groupBy("leaf").agg(F.count("*").alias("n")).join(asks.groupBy("leaf").agg(F.count("*").alias("m")), "leaf")
     sizes = F.broadcast(sizes.select("leaf", cut("n").alias("blocks"), cut("m").alias("lots")))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = index.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).withColumn("lot", spread("lots")).select("leaf", "block", "lot", "vec_id", "embedding")
+    left = index.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.col("blocks")).cast("int")).withColumn("lot", spread("lots")).select("leaf", "block", "lot", "vec_id", "embedding")
     right = asks.join(sizes, "leaf").withColumn("lot", F.pmod(F.xxhash64("query_id", F.lit(1)), F.col("lots")).cast("int")).withColumn("block", spread("blocks")).select("leaf", "block", "lot", "query_id", "point")
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
