@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, langid, minhash, mixing, quality, rules, secrets, sharding, substring
-from .sampling import first_by_hash, remainder
+from .sampling import remainder
 
 #: Rank file and pattern of the default vocabulary come from this package.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -37,7 +37,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = rules.RulesConfig()
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
-    judged = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), first_by_hash(good, "doc_id", config.trusted), config)
+    judged = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), good, config)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 

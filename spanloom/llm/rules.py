@@ -8,7 +8,8 @@ on their own.
 
 Everything is DataFrame expressions.  The table of ratios has a fixed number of
 buckets, so it is one array of doubles, which the scoring pass reads from a
-session variable; neither pass shuffles texts.
+session variable.  The counting pass shuffles the texts once, at every size, to
+meet the trusted ids; the scoring pass shuffles none.
 
 Defined cases: a null or blank text has no words, fails the base rules and has
 a null score; without trusted rows the verdict is that of the base rules;
@@ -35,8 +36,6 @@ class RulesConfig:
     #: Mean log ratio from which a document is kept.
     threshold: float = -0.4
     smoothing: float = 1.0
-    #: The most trusted documents that the target is counted on.
-    trusted: int = 20_000
     #: Base rules: least words, and most words (percent) in repeated windows.
     least_words: int = 50
     most_repeated: int = 50
@@ -108,9 +107,11 @@ def with_features(docs: DataFrame, buckets: int) -> DataFrame:
 def log_ratios(docs: DataFrame, trusted: DataFrame, config: RulesConfig = RulesConfig()) -> DataFrame:
     """One row: ``ratios``, an array of log(target / raw) by bucket, and ``known``, whether there is a target.
 
-    ``trusted``: at most ``config.trusted`` rows of doc_id, which are broadcast.
+    ``trusted``: distinct doc_id, of any number.
     """
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("mark"))), "doc_id", "left")
+    # rows without an id match nothing and are dealt over the partitions
+    own = docs.select("doc_id", "text").withColumn("lot", F.when(F.col("doc_id").isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(1024))).otherwise(0))
+    marked = own.join(trusted.select("doc_id", F.lit(0).cast("long").alias("lot"), F.lit(1).alias("mark")).hint("merge"), ["doc_id", "lot"], "left")
     # explode() would infer a filter on the array, which is then made twice
     each = with_features(marked, config.buckets).select(F.explode_outer("_features").alias("bucket"), "mark").where("bucket is not null")
     counts = each.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("mark").alias("target"))
