@@ -5,14 +5,19 @@ written as the printable characters of byte-level BPE, the merges are those
 pairs of tokens whose concatenation is a token, in the order of its rank, and
 a text is cut by the pre-tokenising pattern before any merge.
 
-Pieces repeat, so each worker keeps the ids of the pieces it has met in a
-dictionary of bounded size; a piece it has not met goes through the model of
-``tokenizers``.  Offsets are in characters of the text: a token
+Pieces repeat, so each worker keeps the ids of the pieces it has met in two
+dictionaries of bounded size: when one is full it becomes the older one, whose
+pieces move on when they are met again.  A piece in neither goes through the
+model of ``tokenizers``.  Decoding writes the printable characters of the tokens one
+after another and maps each back to its byte, so a character whose bytes lie in
+several tokens comes back whole.  Offsets are in characters of the text: a token
 that holds only some bytes of a character covers that character.
 
-Defined cases: a null text is encoded as an empty one; empty texts give no ids;
-decoding works on bytes, so a character split over tokens comes back whole and
-an incomplete one becomes U+FFFD only in ``decode_text``.
+Defined cases: a null text is encoded as an empty one, and null ids are decoded
+as none; empty texts give no ids; texts of any length are encoded whole, one at
+a time, in slices of rows of bounded size; repeated rows give equal results;
+an empty table gives no rows; an incomplete character becomes U+FFFD only in
+``decode_text``.  Columns that this module adds replace those of the same name.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .vectors import slices
 
 
 def byte_characters() -> list[str]:
@@ -43,34 +49,40 @@ def byte_characters() -> list[str]:
 class ByteBPE:
     """Encoder and decoder for one rank file and pattern."""
 
-    #: Bounds of the dictionary of pieces: how many, and how long a piece.
-    kept, kept_length = 300_000, 64
+    #: Bounds of a dictionary of pieces: how many (beyond those of one text), and how long a piece.
+    kept, kept_length = 80_000, 64
 
     def __init__(self, path: str, pattern: str):
         import regex
 
         with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
+            ranks = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f) if a}
         self.characters = byte_characters()
-        self.table = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.table[rank] = token
+        #: The byte of each printable character.
+        self.bytes = np.zeros(0x200, np.uint8)
+        self.bytes[list(map(ord, self.characters))] = np.arange(256)
+        #: Each token in printable characters, and its number of bytes.
+        self.shown = [self._printable(ranks.get(i, b"")) for i in range(max(ranks) + 1)]
+        self.lengths = np.array(list(map(len, self.shown)), np.int32)
         self.split = regex.compile(pattern).findall
         self.ids: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _printable(self, raw: bytes) -> str:
+        return raw.decode("latin-1").translate(self.characters)
 
     @cached_property
     def model(self):
         """The merging model; a worker that only decodes never builds it."""
         from tokenizers import models
 
-        ranks = {token: rank for rank, token in enumerate(self.table) if token}
-        shown = lambda token: "".join(map(self.characters.__getitem__, token))
-        merges = sorted((rank, -cut, token[:cut], token[cut:]) for token, rank in ranks.items() for cut in range(1, len(token)) if token[:cut] in ranks and token[cut:] in ranks)
-        return models.BPE(vocab={shown(t): r for t, r in ranks.items()}, merges=[(shown(a), shown(b)) for _, _, a, b in merges], ignore_merges=True, cache_capacity=0)
+        vocab = {token: rank for rank, token in enumerate(self.shown) if token}
+        merges = sorted((rank, -cut, token[:cut], token[cut:]) for token, rank in vocab.items() for cut in range(1, len(token)) if token[:cut] in vocab and token[cut:] in vocab)
+        return models.BPE(vocab=vocab, merges=[(a, b) for _, _, a, b in merges], ignore_merges=True, cache_capacity=0)
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
-        merge, shown = self.model.tokenize, self.characters
-        return {piece: array("I", [t.id for t in merge(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(shown))]).tobytes() for piece in new}
+        merge = self.model.tokenize
+        return {piece: array("I", [t.id for t in merge(self._printable(piece.encode("utf-8", "surrogatepass")))]).tobytes() for piece in new}
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -80,95 +92,124 @@ class ByteBPE:
             return b"".join(map(ids.__getitem__, found))
         except KeyError:
             pass
-        got = self._learn([piece for piece in dict.fromkeys(found) if piece not in ids])
-        if len(ids) + len(got) > self.kept:
-            ids.clear()
-            got |= self._learn([piece for piece in dict.fromkeys(found) if piece not in got])
+        new = [piece for piece in dict.fromkeys(found) if piece not in ids]
+        got = {piece: self.before[piece] for piece in new if piece in self.before}
+        got |= self._learn([piece for piece in new if piece not in got])
         out = b"".join([got[piece] if piece in got else ids[piece] for piece in found])
         ids.update((piece, x) for piece, x in got.items() if len(piece) <= self.kept_length)
+        if len(ids) > self.kept:
+            self.before, self.ids = ids, {}
         return out
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last-plus-one character of each token, by the byte-to-character map."""
         raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-        character = np.cumsum((raw & 0xC0) != 0x80) - 1
-        ends = np.cumsum([len(self.table[i]) for i in ids])
-        starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-        return (character[starts], character[ends - 1] + 1) if len(ends) else (ends, ends)
+        ends = np.cumsum(self.lengths[ids])
+        if not len(ends):
+            return ends, ends
+        character = np.cumsum((raw & 0xC0) != 0x80, dtype=np.int32) - 1
+        return character[ends - self.lengths[ids]], character[ends - 1] + 1
 
     def decode(self, ids: bytes) -> bytes:
-        """The bytes of ids written as by :meth:`encode`."""
-        return b"".join(map(self.table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        """The bytes of ids written as by :meth:`encode`: printable characters through the inverse byte table."""
+        shown = "".join(map(self.shown.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.bytes[np.frombuffer(shown.encode("utf-16-le"), "<u2")].tobytes()
+
+    def decoded_parts(self, ids: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+        """As :meth:`decode`, in parts of bounded size; the bytes of a character may lie in two."""
+        return (self.decode(ids[at : at + size]) for at in range(0, len(ids), size))
 
     def decode_text(self, ids: bytes) -> str:
         return self.decode(ids).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _loaded(path: str, pattern: str) -> ByteBPE:
     return ByteBPE(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False) -> DataFrame:
-    """``docs`` with ``ids`` (array of int) and, if asked, ``starts`` and ``ends``."""
-    added = ["ids", "starts", "ends"] if offsets else ["ids"]
-    names = [c for c in docs.columns if c not in added]
-    whole = pa.list_(pa.int32())
+#: Arrow and Spark types of the columns that can be added.
+_KINDS = {
+    "ids": (pa.list_(pa.int32()), "array<int>"),
+    "starts": (pa.list_(pa.int32()), "array<int>"),
+    "ends": (pa.list_(pa.int32()), "array<int>"),
+    "decoded": (pa.binary(), "binary"),
+    "n_tokens": (pa.int64(), "long"),
+    "n_split": (pa.int64(), "long"),
+    "ids_sha256": (pa.string(), "string"),
+    "decoded_sha256": (pa.string(), "string"),
+    "intact": (pa.bool_(), "boolean"),
+}
+
+
+def _mapped(rows: DataFrame, names: list[str], read: str, added: tuple[str, ...], path: str, pattern: str, one) -> DataFrame:
+    """``names`` of ``rows`` with the columns ``added``: what ``one(bpe, value)`` gives for each value of ``read``."""
+    names = [c for c in names if c not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(path, pattern)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                rows = []
-                for t in part[text].to_pylist():
-                    ids = np.frombuffer(bpe.encode(t or ""), "<i4")
-                    rows.append((ids, *(bpe.offsets(t or "", ids) if offsets else ())))
-                made = [pa.array([r[k] for r in rows], whole) for k in range(len(added))]
-                yield pa.RecordBatch.from_arrays([*[part[c] for c in names], *made], [*names, *added])
+            for part in slices(batch, read):
+                made = list(zip(*(one(bpe, x) for x in part[read]), strict=True))
+                yield pa.RecordBatch.from_arrays([*[part[c] for c in names], *[pa.array(x, _KINDS[c][0]) for c, x in zip(added, made, strict=True)]], [*names, *added])
+
+    schema = rows.select(*names).withColumns({c: F.lit(None).cast(_KINDS[c][1]) for c in added}).schema
+    return rows.select(*dict.fromkeys([*names, read])).mapInArrow(run, schema)
+
+
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` (array of int) and, if asked, ``starts`` and ``ends``."""
 
-    schema = docs.select(*names).withColumns({c: F.array().cast("array<int>") for c in added}).schema
-    return docs.select(*names).mapInArrow(run, schema)
+    def one(bpe: ByteBPE, x: pa.Scalar) -> tuple:
+        t = x.as_py() or ""
+        ids = np.frombuffer(bpe.encode(t), "<i4")
+        return (ids, *bpe.offsets(t, ids)) if offsets else (ids,)
+
+    return _mapped(docs, docs.columns, text, ("ids", "starts", "ends") if offsets else ("ids",), path, pattern, one)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``: the bytes of the tokens in ``ids`` (null: none)."""
-    names = [c for c in encoded.columns if c != "decoded"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(path, pattern)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                rows = [bpe.decode(np.asarray(x.values, "<u4").tobytes()) if x.is_valid else b"" for x in part[ids]]
-                yield pa.RecordBatch.from_arrays([*[part[c] for c in names], pa.array(rows, pa.binary())], [*names, "decoded"])
+    def one(bpe: ByteBPE, x: pa.Scalar) -> tuple:
+        return (bpe.decode(np.asarray(x.values, "<u4").tobytes()) if x.is_valid else b"",)
+
+    return _mapped(encoded, encoded.columns, ids, ("decoded",), path, pattern, one)
+
 
-    return encoded.select(*names).mapInArrow(run, encoded.select(*names).withColumn("decoded", F.lit(b"")).schema)
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Encode, then decode, in one pass: n_tokens, ids, and whether the decoded bytes are those of the text (``intact``)."""
+
+    def one(bpe: ByteBPE, x: pa.Scalar) -> tuple:
+        t = x.as_py() or ""
+        ids, raw, at, same = bpe.encode(t), memoryview(t.encode("utf-8", "surrogatepass")), 0, True
+        for part in bpe.decoded_parts(ids):
+            same &= raw[at : at + len(part)] == part
+            at += len(part)
+        return len(ids) // 4, np.frombuffer(ids, "<i4"), same and at == len(raw)
+
+    return _mapped(docs, list(keep), text, ("n_tokens", "ids", "intact"), path, pattern, one)
 
 
 def round_trip_digests(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Encode, then decode, in one pass: n_tokens and the digests of ids and decoded bytes.
+    """Encode, then decode, in one pass: n_tokens, the digests of ids and decoded bytes, and n_split.
 
-    The ids of a text never leave its worker, so nothing but digests is moved.
+    ``n_split`` is the number of tokens that begin or end inside a character:
+    those whose first character is also the last one of the token before, and
+    the tokens before those.  The ids of a text never leave its worker, so
+    nothing but digests is moved.
     """
-    added = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    names = list(keep)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(path, pattern)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                number, first, second = [], [], []
-                for t in part[text].to_pylist():
-                    ids = bpe.encode(t or "")
-                    number.append(len(ids) // 4)
-                    first.append(hashlib.sha256(ids).hexdigest())
-                    back = hashlib.sha256()
-                    for at in range(0, len(ids), 1 << 22):
-                        back.update(bpe.decode(ids[at : at + (1 << 22)]))
-                    second.append(back.hexdigest())
-                yield pa.RecordBatch.from_arrays([*[part[c] for c in names], pa.array(number, pa.int64()), pa.array(first), pa.array(second)], [*names, *added])
-
-    schema = docs.select(*names).withColumns({"n_tokens": F.lit(0).cast("long"), "ids_sha256": F.lit(""), "decoded_sha256": F.lit("")}).schema
-    return docs.select(*dict.fromkeys([*names, text])).mapInArrow(run, schema)
+    def one(bpe: ByteBPE, x: pa.Scalar) -> tuple:
+        t = x.as_py() or ""
+        ids, back = bpe.encode(t), hashlib.sha256()
+        for part in bpe.decoded_parts(ids):
+            back.update(part)
+        split = 0
+        if not t.isascii():
+            starts, ends = bpe.offsets(t, np.frombuffer(ids, "<i4"))
+            shared = np.concatenate(([False], starts[1:] < ends[:-1], [False]))
+            split = int((shared[1:] | shared[:-1]).sum())
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), back.hexdigest(), split
+
+    return _mapped(docs, list(keep), text, ("n_tokens", "ids_sha256", "decoded_sha256", "n_split"), path, pattern, one)

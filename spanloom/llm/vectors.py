@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 #: The separators of words: space and U+0009 to U+000D.
@@ -93,6 +95,22 @@ def groups(texts: list, limit: int = SEGMENT) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def slices(batch: pa.RecordBatch, column: str, rows: int = 256, limit: int = 2 * SEGMENT) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of at most ``rows`` rows and about ``limit`` bytes of ``column`` (a longer value goes alone)."""
+    kind = batch.schema.field(column).type
+    unit = 4 if pa.types.is_list(kind) else 1
+    sizes = (pc.list_value_length if unit > 1 else pc.binary_length)(batch[column])
+    sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64) * unit
+    start = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        if i - start >= rows or (i > start and size + n > limit):
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 _SPACE = np.zeros(0x110000, bool)
 _SPACE[[i for i in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]]] = True
 
