@@ -40,15 +40,15 @@ FOUND = "query_id long, vec_id long, score double"
 class TreeConfig:
     #: The most vectors that the tree is grown on.
     sample: int = 20_000
-    branching: int = 8
+    branching: int = 32
     #: Sampled vectors in a leaf, at most.
-    leaf: int = 512
+    leaf: int = 32
     iterations: int = 8
     #: Queries answered by brute force to calibrate the number of visits, and the recall wanted of them.
     trials: int = 96
-    recall: float = 0.97
+    recall: float = 0.95
     #: Vectors, and queries, of one leaf that one task compares.
-    block: int = 4096
+    block: int = 16_384
     seed: int = 3
 
 
@@ -168,15 +168,20 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, config: TreeConfig = TreeConfig()) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for each row where ``is_query`` (over vec_id)."""
-    spark = vectors.sparkSession
     rows, dim = usable(vectors)
     if not dim:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = stored(rows, "ann-rows")
+    tree, visits = fit(rows, dim, is_query, k, config)
+    return search(rows, dim, is_query, k, tree, visits, config)
+
+
+def fit(rows: DataFrame, dim: int, is_query: Column, k: int, config: TreeConfig) -> tuple[KMeansTree, int]:
+    """The tree of a bounded sample of ``rows`` (see usable), and how many leaves a query must visit."""
+    spark = rows.sparkSession
     sample = np.array([r["embedding"] for r in first_by_hash(rows, "vec_id", config.sample).collect()])
     tree = KMeansTree.grow(sample, config)
     del sample
-    shipped = spark.sparkContext.broadcast(tree)
 
     # calibration: a bounded set of queries against every row, and the leaves that hold the answers
     trials = first_by_hash(rows.where(is_query), "vec_id", config.trials).collect()
@@ -200,7 +205,12 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, config
     visits = 1
     while len(needed) and (needed <= visits).mean() < config.recall:
         visits += max(1, visits // 4)
-    visits = min(tree.leaves, visits)
+    return tree, min(tree.leaves, visits)
+
+
+def search(rows: DataFrame, dim: int, is_query: Column, k: int, tree: KMeansTree, visits: int, config: TreeConfig) -> DataFrame:
+    """Every row dealt to its leaf, every query to the first ``visits`` leaves of its walk, both compared leaf by leaf."""
+    shipped = rows.sparkSession.sparkContext.broadcast(tree)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.value

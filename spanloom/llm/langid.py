@@ -9,7 +9,11 @@ flag the text as ambiguous.
 Defined cases: a null text, or one without a letter, is ``und`` with score 0
 and not ambiguous; with no training rows every text is ``und``; with one
 language every text with a letter is that language with score 1; repeated rows
-get equal results.
+get equal results, and of several texts of a doc_id and language the one that
+hashes lowest is learned from.  A text of more than 2^20 characters is counted
+in parts, cut at white space where there is any, so the n-grams across a cut
+are those of two texts.  An empty table gives no rows.  Columns named
+lang_pred, score or ambiguous are replaced; all others stay.
 """
 
 from __future__ import annotations
@@ -23,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sampling import first_by_hash
-from .vectors import U, code_points, groups, mix, pieces
+from .sampling import first_by_hash, one_text
+from .vectors import U, code_points, groups, mix, pieces, slices
 
 UNKNOWN = "und"
 
@@ -33,9 +37,10 @@ UNKNOWN = "und"
 class LanguageConfig:
     bits: int = 12
     sizes: tuple[int, ...] = (1, 2, 3)
-    #: The most rows in all, and about the most of one language, to learn from.
+    #: The most rows in all, about the most of one language, and the most languages (the commonest), to learn from.
     rows: int = 6000
     rows_per_language: int = 600
+    languages: int = 500
     steps: int = 250
     rate: float = 40.0
     decay: float = 1e-5
@@ -68,7 +73,7 @@ def codewords(n: int, seed: int = 0) -> np.ndarray:
 
 
 def ngram_counts(texts: list[str], bits: int, sizes: tuple[int, ...]) -> np.ndarray:
-    """Counts of hashed character n-grams, a row for each text."""
+    """Counts of hashed character n-grams of each text and three line ends after it, a row for each text."""
     lowered = [t.lower() for t in texts]
     points = code_points("\n\n\n".join([*lowered, ""])).astype(U)
     ends = np.cumsum([len(t) + 3 for t in lowered])
@@ -80,6 +85,8 @@ def ngram_counts(texts: list[str], bits: int, sizes: tuple[int, ...]) -> np.ndar
         if n in sizes and len(acc):
             bucket = (mix(acc + U(n)) >> U(64 - bits)).astype(np.int64)
             out += np.bincount((owner[: len(acc)] << bits) + bucket, minlength=len(out))
+            over = (ends[:-1, None] - np.arange(1, n)).ravel()  # grams that reach into the next text
+            np.subtract.at(out, (owner[over] << bits) + bucket[over], 1)
     return out.reshape(len(texts), 1 << bits)
 
 
@@ -165,16 +172,20 @@ class LanguageModel:
 def language_sample(docs: DataFrame, config: LanguageConfig = LanguageConfig()) -> DataFrame:
     """Texts and languages of a bounded sample of ``docs`` (doc_id, text, lang).
 
-    Common languages are thinned to about ``rows_per_language`` by the hash of
-    the id; at most ``rows`` ids are kept, and being so few they are broadcast.
+    Every language gets about an equal part of ``rows`` (``rows_per_language``
+    at most): its ids are thinned by their hash to that share, so none is
+    dealt or ordered as a whole, and a rare one keeps all its ids.  Of what is
+    left at most ``rows`` ids are taken, each with one text.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    shares = known.groupBy("lang").agg((F.lit(config.rows_per_language) / F.count("*")).alias("share"))
+    listed = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(config.languages).collect()
+    each = max(32, min(config.rows_per_language, config.rows // max(1, len(listed))))
     span = 1 << 30
-    # one row for each language: the rows are not dealt by language, of which one may hold most
+    shares = docs.sparkSession.createDataFrame([(r["lang"], each / r["n"]) for r in listed], "lang string, share double")
+    # at most ``languages`` rows, then at most ``rows``
     thin = known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(config.seed)), F.lit(span)) < F.col("share") * span)
     ids = first_by_hash(thin.select("doc_id", "lang").distinct(), "doc_id", config.rows)
-    return docs.join(F.broadcast(ids), ["doc_id", "lang"]).select("text", "lang")
+    return one_text(docs.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]), "doc_id", "lang").select("text", "lang")
 
 
 def identify_language(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] | None = None) -> DataFrame:
@@ -186,8 +197,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, keep: tuple[str, ..
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = LanguageModel(*shipped.value)
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
+            for part in slices(batch, "text"):
                 lang, score, unsure = own.predict(part["text"].to_pylist())
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in names], pa.array(lang, pa.string()), pa.array(score), pa.array(unsure)], [*names, *added])
 

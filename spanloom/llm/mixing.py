@@ -8,14 +8,18 @@ permutation maps the number of a slot to the index of a block: each pass over
 a source takes every block once, in another order than the blocks lie in.
 Blocks and slots are then joined by source and index.
 
-Only one row for each source, and one for each (shard, source), goes through
-the driver.  Positions within a source are summed up in ranges of a hash of
-doc_id, so a source that holds a third of all rows is many tasks.
+Sources are rows of a table at every step, however many there are: they are
+numbered in order by ranges, targets are levelled by a few aggregates, and the
+multinomial draws go in two steps, first over a fixed number of groups of
+sources (one small table on the driver), then within each group in a task.
+Positions within a source are summed up in ranges of a hash of doc_id, so a
+source that holds a third of all rows is many tasks.
 
 Defined cases: a null or blank text has size 0 and is never taken; a null
 source is a source, after all others; a source without words has target 0;
-rows that repeat a doc_id are mixed as rows of their own; an empty table gives
-an empty result.
+rows that repeat a doc_id are mixed as rows of their own; texts of any length
+are only counted, and lie in as many blocks as they need; an empty table gives
+an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ class MixConfig:
     shards: int = 64
     #: Slots drawn at a time.
     span: int = 1 << 20
+    #: Groups of sources for the first of the two draws.
+    groups: int = 256
     #: Weights of the sources in order, repeating, and the most passes over one source.
     weights: tuple[int, ...] = (1, 2, 3)
     passes: int = 3
@@ -51,21 +57,38 @@ def n_words(text: Column) -> Column:
     return F.size(F.split(F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" ")), "[ \t-\r]+")) - 2
 
 
-def targets(sizes: list[int], weights: list[int], most: int) -> list[float]:
-    """Shares of ``sum(sizes)`` by weight, none above ``most`` times its size; the excess is reshared."""
-    out, left, free = [0.0] * len(sizes), float(sum(sizes)), [i for i, s in enumerate(sizes) if s]
-    while free:
-        each = left / sum(weights[i] for i in free)
-        full = [i for i in free if each * weights[i] > most * sizes[i]]
-        if not full:
-            for i in free:
-                out[i] = each * weights[i]
+def numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``source_no``: 0, 1, 2 ... in the order of (missing, name), counted by ranges."""
+    spark = sources.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(sources.repartitionByRange(parts, "missing", "name").withColumn("part", F.spark_partition_id()), "sources")
+    sizes = sorted(ranged.groupBy("part").count().collect())
+    starts, total = [], 0
+    for part, n in sizes:  # one row for each partition
+        starts.append((part, total))
+        total += n
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("missing", "name")) - 1
+    known = ranged.join(F.broadcast(spark.createDataFrame(starts, "part int, start long")), "part")
+    return known.withColumn("source_no", F.col("start") + inside).drop("part", "start")
+
+
+def with_targets(sources: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """``sources`` (source_no, size) with ``target``: shares of all sizes by weight.
+
+    None is above ``most`` times its size; the excess is reshared by weight.
+    Each turn is one aggregate: the words left to each weight unit are those
+    of the sources not at their bound, and as they grow more reach it.
+    """
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod("source_no", F.lit(len(weights))) + 1).cast("int"))
+    rows = sources.withColumns({"weight": weight, "bound": most * F.col("size")})
+    each, full = 0.0, -1
+    while True:
+        over = F.lit(each) * F.col("weight") > F.col("bound")
+        r = rows.where("size > 0").agg(F.count_if(over).alias("full"), F.sum("size").alias("all"), F.sum(F.when(over, F.col("bound"))).alias("fixed"), F.sum(F.when(~over, F.col("weight"))).alias("units")).first()
+        if r["all"] is None or r["units"] is None or r["full"] == full:
             break
-        for i in full:
-            out[i] = float(most * sizes[i])
-            left -= out[i]
-        free = [i for i in free if i not in full]
-    return out
+        full, each = r["full"], float(r["all"] - (r["fixed"] or 0)) / r["units"]
+    return rows.withColumn("target", F.when(F.col("size") == 0, F.lit(0.0)).otherwise(F.least(F.lit(each) * F.col("weight"), F.col("bound").cast("double")))).drop("weight", "bound")
 
 
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -85,16 +108,19 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def shard_counts(wanted: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """Slots of each source in each shard: multinomial draws from the slots not yet given."""
-    rng, left = np.random.default_rng(seed), wanted.astype(np.int64).copy()
-    out = np.zeros((shards, len(left)), np.int64)
-    for shard in range(shards):
-        if shard == shards - 1 or not left.sum():
-            out[shard] = left
-        else:
-            out[shard] = np.minimum(rng.multinomial(left.sum() // (shards - shard), left / left.sum()), left)
-        left -= out[shard]
+def shard_counts(wanted: np.ndarray, shards: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Slots of each source in each shard: a multinomial draw for each shard, from the slots not yet given.
+
+    ``shards``: slots of each shard; their sum is that of ``wanted``.
+    """
+    left, out = wanted.astype(np.int64).copy(), np.zeros((len(shards), len(wanted)), np.int64)
+    for i, size in enumerate(shards[:-1].tolist()):
+        while size and left.sum():  # a draw above what a source has left is drawn again
+            got = np.minimum(rng.multinomial(size, left / left.sum()), left)
+            out[i] += got
+            left -= got
+            size -= int(got.sum())
+    out[-1] = left
     return out
 
 
@@ -110,51 +136,78 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> Mixture:
     """Mix ``docs`` (doc_id, source, text): the documents of the result have
     doc_id, source, size, source_size, target and taken."""
     spark, size = docs.sparkSession, config.block
-    rows = stored(docs.select("doc_id", "source", n_words(F.col("text")).cast("long").alias("size")), "sizes")
-    listed = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()
-    listed.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    sizes = [r["size"] for r in listed]
-    weights = [config.weights[i % len(config.weights)] for i in range(len(listed))]
-    aims = targets(sizes, weights, config.passes)
-    blocks = [-(-s // size) for s in sizes]
-    wanted = [min(config.passes * n, round(a * n / s)) if s else 0 for a, s, n in zip(aims, sizes, blocks, strict=True)]
-    sources = spark.createDataFrame([(i, r["source"], s, a) for i, (r, s, a) in enumerate(zip(listed, sizes, aims, strict=True))], "source_no int, source string, source_size long, target double")
-    # one row for each source
-    known = rows.join(F.broadcast(sources), rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
+    named = {"name": F.coalesce("source", F.lit("")), "missing": F.col("source").isNull()}
+    rows = docs.select("doc_id", "source", n_words(F.col("text")).cast("long").alias("size"))
+    rows = stored(rows.withColumns(named | {"place": F.xxhash64("doc_id", F.lit(config.seed))}), "sizes")
+    total = rows.agg(F.count("*").alias("rows"), F.sum("size").alias("words")).first()
+
+    # one row for each source: its number, target, blocks and slots
+    blocks = F.ceil(F.col("size") / size)
+    slots = F.when(F.col("size") > 0, F.least(config.passes * blocks, F.round(F.col("target") * blocks / F.col("size")).cast("long"))).otherwise(0)
+    listed = with_targets(numbered(rows.groupBy("missing", "name").agg(F.sum("size").alias("size"))), config.weights, config.passes)
+    sources = stored(listed.withColumns({"blocks": blocks, "wanted": slots, "grp": F.pmod(F.xxhash64("source_no"), F.lit(config.groups)).cast("int")}), "targets")
 
     # where each document's words begin within its source
-    salts = int(min(1 << 20, max(64, sum(r["rows"] for r in listed) // 50_000)))
-    known = known.withColumns({"place": F.xxhash64("doc_id", F.lit(config.seed))}).withColumn("salt", F.pmod("place", F.lit(salts)).cast("int"))
-    earlier = Window.partitionBy("source_no").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = known.groupBy("source_no", "salt").agg(F.sum("size").alias("n")).select("source_no", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("source_no", "salt").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    salts = int(min(1 << 20, max(64, total["rows"] // 50_000)))
+    known = rows.withColumn("salt", F.pmod("place", F.lit(salts)).cast("int"))
+    earlier = Window.partitionBy("missing", "name").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = known.groupBy("missing", "name", "salt").agg(F.sum("size").alias("n")).select("missing", "name", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    offsets = offsets.join(sources.select("missing", "name", "source_no", F.col("size").alias("source_size"), "target"), ["missing", "name"])
+    inside = Window.partitionBy("missing", "name", "salt").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     begin = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    laid = known.join(offsets, ["source_no", "salt"]).withColumn("begin", begin).drop("place", "salt", "offset")
-
-    # the slots of every shard, and the block of each
-    counts = shard_counts(np.array(wanted, np.int64), config.shards, config.seed)
-    first = np.cumsum(counts, 0) - counts
-    plan = [(shard, s, blocks[s], int(first[shard, s]), int(counts[shard, s])) for shard in range(config.shards) for s in range(len(listed)) if counts[shard, s]]
-    seed = config.seed
+    laid = known.join(offsets.hint("merge"), ["missing", "name", "salt"]).withColumn("begin", begin).select("doc_id", "source", "size", "source_no", "source_size", "target", "begin")
+
+    # how many slots each group of sources has in each shard; at most groups x shards numbers
+    grouped = dict(sources.groupBy("grp").agg(F.sum("wanted")).collect())
+    groups = sorted(grouped)
+    every, shards, seed = sum(grouped.values()), config.shards, config.seed
+    per_shard = np.diff(every * np.arange(shards + 1, dtype=object) // shards).astype(np.int64)
+    by_group = shard_counts(np.array([grouped[g] for g in groups], np.int64), per_shard, np.random.default_rng(seed))
+    mine = {g: by_group[:, i] for i, g in enumerate(groups)}
+
+    def share(table: pa.Table) -> pa.Table:
+        """Of one group: the slots of each source in each shard, and the number of the first."""
+        g = table["grp"][0].as_py()
+        own = table.sort_by("source_no")
+        no, n, wanted = (own[c].to_numpy() for c in ("source_no", "blocks", "wanted"))
+        counts = shard_counts(wanted, mine[g], np.random.default_rng([seed, g]))
+        first = np.cumsum(counts, 0) - counts
+        shard, s = np.nonzero(counts)
+        return pa.table({"shard": pa.array(shard, pa.int32()), "source_no": pa.array(no[s], pa.int64()), "blocks": pa.array(n[s], pa.int64()), "first": pa.array(first[shard, s], pa.int64()), "slots": pa.array(counts[shard, s], pa.int64())})
+
+    plan = stored(sources.where("wanted > 0").select("grp", "source_no", "blocks", "wanted").groupBy("grp").applyInArrow(share, "shard int, source_no long, blocks long, first long, slots long"), "plan")
+
+    names = ["shard", "slot", "source_no", "block"]
+
+    def ranges_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        for shard, s, n, start, count in zip(*(batch[c].to_pylist() for c in ("shard", "source_no", "blocks", "start", "count")), strict=True):
+            for a in range(start, start + count, 1 << 16):
+                slot = np.arange(a, min(a + (1 << 16), start + count))
+                block = np.empty(len(slot), np.int64)
+                for turn in np.unique(slot // n):  # each pass has a key of its own
+                    own = slot // n == turn
+                    block[own] = permuted(slot[own] % n, n, seed + 31 * s + 1009 * int(turn))
+                yield np.full(len(slot), shard, np.int32), slot, np.full(len(slot), s), block
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, s, n, start, count in zip(*(batch[c].to_pylist() for c in ("shard", "source_no", "blocks", "start", "count")), strict=True):
-                for a in range(start, start + count, 1 << 16):
-                    slot = np.arange(a, min(a + (1 << 16), start + count))
-                    block = np.empty(len(slot), np.int64)
-                    for turn in np.unique(slot // n):  # each pass has a key of its own
-                        own = slot // n == turn
-                        block[own] = permuted(slot[own] % n, n, seed + 31 * s + 1009 * int(turn))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), shard), pa.int32()), pa.array(slot), pa.array(np.full(len(slot), s), pa.int32()), pa.array(block)], ["shard", "slot", "source_no", "block"])
+            held, rows = [], 0
+            for some in ranges_of(batch):
+                held.append(some)
+                rows += len(some[1])
+                if rows >= 1 << 16:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held, strict=True)], names)
+                    held, rows = [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held, strict=True)], names)
 
     # a source's slots of a shard are cut into ranges of at most ``span`` slots, so no task draws more than a few of them
-    ranges = spark.createDataFrame(plan, "shard int, source_no int, blocks long, first long, slots long").select(
+    ranges = plan.select(
         "shard", "source_no", "blocks", "slots", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(config.span).cast("long"))).alias("at")
     )
     ranges = ranges.select("shard", "source_no", "blocks", (F.col("first") + F.col("at")).alias("start"), F.least(F.lit(config.span), F.col("slots") - F.col("at")).alias("count"))
-    tasks = max(config.shards, sum(wanted) // (4 * config.span))
-    slots = ranges.repartition(int(tasks), "shard", "source_no", "start").mapInArrow(draw, "shard int, slot long, source_no int, block long")
+    tasks = max(shards, every // (4 * config.span))
+    slots = ranges.repartition(int(tasks), "shard", "source_no", "start").mapInArrow(draw, "shard int, slot long, source_no long, block long")
 
     # join by index: the pieces of documents in blocks, and how often each block is taken
     drawn = slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))

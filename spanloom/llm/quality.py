@@ -1,21 +1,28 @@
 """Quality classifier: supervised subword embeddings.
 
 A text is the average of learned vectors of its hashed words and character
-n-grams (of one and two words, of three to five characters); a softmax over the averaged vector gives the class.  The vectors are
-trained by stochastic gradient descent in numpy on a bounded sample of labelled
-rows; every row is then scored in Arrow batches, whole text by whole text.
+n-grams (of one and two words, of three to five characters); a softmax over
+the averaged vector gives the class.  The vectors are trained by stochastic
+gradient descent in numpy on a bounded sample of labelled rows; every row is
+then scored in Arrow batches, whole text by whole text.
 
 Because averaging is linear, scoring needs only each bucket's contribution to
 the two logits, so the broadcast model is one number for each bucket.
 
 Defined cases: a null or empty text has no subwords and gets the score of the
 bias alone; rows are scored one by one, so repeated rows get equal scores;
-labels that are null are not learned from; with no labelled rows, or only one
-class, the model is the bias (0.5, or the one class).
+labels that are null are not learned from, of several labels of an id the least
+holds, and of several texts of an id the one that hashes lowest; with no
+labelled rows, or only one class, the model is the bias (0.5, or the one
+class).  A text of more than 2^20 characters is counted in parts, cut at white
+space where there is any: every word is counted, and the pairs and n-grams
+across a cut are those of two texts.  An empty table gives no rows.  A column
+named as the score is replaced; all others stay.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sampling import first_by_hash
-from .vectors import groups, pieces, subwords
+from .sampling import first_by_hash, one_text
+from .shared import discard, stored
+from .vectors import groups, pieces, slices, subwords
 
 
 @dataclass(frozen=True)
@@ -34,8 +42,9 @@ class QualityConfig:
     dim: int = 12
     epochs: int = 4
     rate: float = 0.6
-    #: The most labelled rows of each class that are learned from.
+    #: The most labelled rows of each class that are learned from, and the most distinct subwords of all of them.
     rows_per_class: int = 1200
+    subwords: int = 20_000_000
     seed: int = 7
 
 
@@ -57,7 +66,7 @@ def _parts(texts: list) -> Iterator[tuple[list[int], list[str]]]:
 def _count_subwords(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, counts = [], []
+            ids, counts, marks = [], [], []
             for text in batch["text"].to_pylist():
                 total = np.zeros(1 << bits, np.int64)
                 for part in pieces(text or ""):
@@ -66,7 +75,9 @@ def _count_subwords(bits: int):
                 at = np.flatnonzero(total)
                 ids.append(at.astype("<i4").tobytes())
                 counts.append(total[at].astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch["label"], pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], ["label", "ids", "counts"])
+                marks.append(int.from_bytes(hashlib.blake2b(ids[-1] + counts[-1], digest_size=8).digest(), "little", signed=True))
+            size = [len(x) // 4 for x in ids]
+            yield pa.RecordBatch.from_arrays([batch["label"], pa.array(marks, pa.int64()), pa.array(size, pa.int32()), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], ["label", "mark", "n", "ids", "counts"])
 
     return run
 
@@ -79,8 +90,21 @@ class QualityModel:
 
     @classmethod
     def fit(cls, labelled: DataFrame, config: QualityConfig = QualityConfig()) -> QualityModel:
-        """``labelled``: columns text, label (0 or 1), already bounded."""
-        rows = labelled.select("label", "text").mapInArrow(_count_subwords(config.bits), "label int, ids binary, counts binary").collect()
+        """``labelled``: columns text, label (0 or 1), already bounded in rows (see labelled_sample).
+
+        Rows are taken in the order of a hash until they hold ``config.subwords``
+        distinct subwords, so very long texts do not fill the driver.
+        """
+        counted = labelled.select("label", "text").mapInArrow(_count_subwords(config.bits), "label int, mark long, n int, ids binary, counts binary")
+        counted = stored(counted, "quality-sample")
+        total, last = 0, None
+        for r in sorted(counted.select("mark", "n").collect()):
+            total += r["n"]
+            if total > config.subwords:
+                break
+            last = r["mark"]
+        rows = counted.where(F.col("mark") <= last).select("label", "ids", "counts").collect() if last is not None else []
+        discard(counted)
         size = 1 << config.bits
         data = []
         for r in rows:
@@ -127,14 +151,15 @@ class QualityModel:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> DataFrame:
-    """Texts and labels (0, 1) of a bounded sample: in each class the ids that hash lowest.
+    """Texts and labels (0, 1) of a bounded sample: in each class the ids that hash lowest, each with one text.
 
     The chosen ids are at most ``2 * rows_per_class`` rows, so they are
-    broadcast; documents are not shuffled.
+    broadcast; only their documents are shuffled.
     """
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
     one = [first_by_hash(known.where(F.col("label") == y), "doc_id", rows_per_class) for y in (0, 1)]
-    return docs.select("doc_id", "text").join(F.broadcast(one[0].unionByName(one[1])), "doc_id").select("text", "label")
+    found = docs.select("doc_id", "text").join(F.broadcast(one[0].unionByName(one[1])), "doc_id")
+    return one_text(found, "doc_id", "label").select("text", "label")
 
 
 def score_quality(docs: DataFrame, model: QualityModel, score: str = "score") -> DataFrame:
@@ -145,8 +170,7 @@ def score_quality(docs: DataFrame, model: QualityModel, score: str = "score") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = QualityModel(*shipped.value)
         for batch in batches:
-            for a in range(0, batch.num_rows, 1024):
-                part = batch.slice(a, 1024)
+            for part in slices(batch, "text", 1024):
                 got = pa.array(own.scores(part["text"].to_pylist()), pa.float64())
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in names], got], [*names, score])
 

@@ -18,13 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(modulus: int, rest: int) -> Column:
+    """Whether a row is kept out of learning; one without an id is not, as it has no remainder."""
+    return F.coalesce(remainder("doc_id", modulus) == rest, F.lit(False)).alias("held_out")
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1).select("doc_id", F.col("quality").alias("label"))
     config = quality.QualityConfig()
     model = quality.QualityModel.fit(quality.labelled_sample(docs, labels, config.rows_per_class), config)
     scored = quality.score_quality(docs, model)
-    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out(3, 1), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +51,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.LanguageModel.fit(langid.language_sample(docs.where(remainder("doc_id", 5) != 0)))
     # the text goes into the tasks but does not come back
     found = langid.identify_language(docs.select("doc_id", "text"), model, keep=("doc_id",))
-    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
+    return found.select("doc_id", held_out(5, 0), "lang_pred", "score", "ambiguous")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,20 @@ leaves.  The quantile is found by histograms: each pass is one aggregation
 over all nodes of a level and returns a bounded number of bins to the driver,
 which narrows down the bin that holds the cut.
 
-Rows are ordered by (dimension, group, tie), so equal values can be cut too: a
-group of equal texts stays whole unless it weighs more than ``whole`` of a
-shard and lies on a cut.  Everything on the rows is DataFrame operations.
+Rows are ordered by (dimension, group, tie), so equal values can be cut too.
+The rule on groups of equal texts: a group lies in one shard, unless it weighs
+more than ``whole`` (2 %) of an ideal shard and a cut falls inside it; then it
+is cut there by the hash of (doc_id, text).  So a group that holds a third of
+all rows is spread over the shards that its bytes fill, and keeping smaller
+groups whole moves no cut by more than half of ``whole`` of a shard.
+
+Everything on the rows is DataFrame operations.
 
 Defined cases: a null text weighs nothing but the constant; an empty table
-gives an empty result; rows equal in everything stay together; with fewer rows
-than shards some shards are empty.
+gives an empty result; rows equal in everything stay together; a null doc_id
+is a value like others; with fewer rows than shards some shards are empty;
+texts of any length are measured whole and never cut; other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
@@ -43,6 +50,7 @@ class _Node:
     # while the cut is sought: values fixed so far, the range of the next column, what is still to go left
     low: int = 0
     high: int = 0
+    below: int | None = None  # the largest value under that range
     want: float = 0.0
     fixed: list[int] = field(default_factory=list)
 
@@ -111,7 +119,7 @@ def _find_cuts(placed: DataFrame, nodes: list[_Node], weight: str, keys: list[st
         left_over = []
         for n in nodes:
             own = sorted((r["bin"], r["w"], r["low"], r["high"]) for r in found if r["node"] == n.first)
-            before, below = 0, None
+            before, below = 0, n.below
             for _, w, low, high in own:
                 if before + w >= n.want:
                     break
@@ -122,11 +130,11 @@ def _find_cuts(placed: DataFrame, nodes: list[_Node], weight: str, keys: list[st
             if small:
                 n.cut = [*prefix, (columns[at], high if n.want - before > w / 2 else below)]
             elif low < high:
-                n.low, n.high, n.want = low, high, n.want - before
+                n.low, n.high, n.below, n.want = low, high, below, n.want - before
                 left_over.append(n)
             else:
                 n.fixed.append(low)
-                n.low, n.high, n.want = _LOW, _HIGH, n.want - before
+                n.low, n.high, n.below, n.want = _LOW, _HIGH, None, n.want - before
                 left_over.append(n)
         nodes = left_over
 

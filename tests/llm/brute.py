@@ -115,7 +115,8 @@ def mixing_targets(sizes):
     while True:
         free = [s for s in names if s not in fixed]
         left = total - sum(fixed.values())
-        share = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        units = sum(weight[f] for f in free)
+        share = {s: left * weight[s] / units for s in free}
         over = [s for s in free if share[s] > 3 * sizes[s]]
         if not over:
             return fixed | share
@@ -128,3 +129,105 @@ def nearest(ids, vectors, queries, k=10):
         far = np.sqrt(((vectors - vectors[ids.index(q)]) ** 2).sum(1))
         out[q] = [(far[i], ids[i]) for i in sorted(range(len(ids)), key=lambda i: (far[i], ids[i])) if ids[i] != q][:k]
     return out
+
+
+MASK = 2**64 - 1
+SPACES = frozenset(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
+def mixed(x):
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & MASK
+    return x ^ (x >> 31)
+
+
+def polynomial(points):
+    out = 0
+    for p in points:
+        out = (out * 0x9E3779B97F4A7C15 + p) & MASK
+    return out
+
+
+def subword_buckets(text, bits):
+    """Buckets of the n-grams (3 to 5), words and pairs of neighbours of a text."""
+    padded = " " + text + " "
+    points = [32 if c in SPACES else ord(c) for c in padded]
+    out = []
+    for n in (3, 4, 5):
+        for i in range(len(points) - n + 1):
+            if 32 not in points[i + 1 : i + n - 1]:
+                out.append(mixed((polynomial(points[i : i + n]) + n) & MASK) >> (64 - bits))
+    found, now = [], []
+    for p in [*points, 32]:
+        if p != 32:
+            now.append(p)
+        elif now:
+            up, total = 1, 0
+            for q in now:
+                total += (q + 1) * up
+                up = up * 0x9E3779B97F4A7C15 & MASK
+            found.append(mixed((total + 1) & MASK))
+            now = []
+    pairs = [2 if a == b else (a * 3 + b) & MASK for a, b in zip(found[:-1], found[1:], strict=True)]
+    return out + [w >> (64 - bits) for w in found] + [mixed(p) >> (64 - bits) for p in pairs]
+
+
+def quality_score(text, model):
+    got = subword_buckets(text or "", model.bits)
+    logit = model.bias + (sum(float(model.weights[b]) for b in got) / len(got) if got else 0)
+    return 1 / (1 + np.exp(-logit))
+
+
+def language(text, model):
+    """Language and score by the loss of every codeword, n-grams counted one by one."""
+    if not text or not any(map(str.isalpha, text)):
+        return "und", 0.0
+    points, bits = [*map(ord, text.lower()), 10, 10, 10], model.config.bits
+    counts = np.zeros(1 << bits)
+    for n in model.config.sizes:
+        for i in range(len(points) - n + 1):
+            counts[mixed((polynomial(points[i : i + n]) + n) & MASK) >> (64 - bits)] += 1
+    x = np.sqrt(counts / counts.sum())
+    margin = x @ model.weights[:-1] + model.weights[-1]
+    trust = model.trust / model.trust.sum()
+    loss = [float(sum(t * np.log1p(np.exp(-m * c)) for t, m, c in zip(trust, margin, word, strict=True))) for word in model.code]
+    best = int(np.argmin(loss))
+    return model.names[best], 1 / sum(np.exp(-8 * (x - loss[best])) for x in loss)
+
+
+def murmur(text, seed=42):
+    """The 32-bit hash of a string as Spark SQL's hash() takes it."""
+    raw, m = text.encode(), 2**32 - 1
+    turn = lambda x, r: (x << r | x >> (32 - r)) & m
+    h = seed & m
+    whole = len(raw) - len(raw) % 4
+    parts = [int.from_bytes(raw[i : i + 4], "little") for i in range(0, whole, 4)] + [(b - 256 if b > 127 else b) & m for b in raw[whole:]]
+    for k in parts:
+        h = (turn(h ^ turn(k * 0xCC9E2D51 & m, 15) * 0x1B873593 & m, 13) * 5 + 0xE6546B64) & m
+    h ^= len(raw)
+    h = (h ^ h >> 16) * 0x85EBCA6B & m
+    h = (h ^ h >> 13) * 0xC2B2AE35 & m
+    return h ^ h >> 16
+
+
+def rule_features(text, buckets):
+    tokens = words(re.sub(r"([!-/:-@\[-`{-~]+)", r" \1 ", text or ""))
+    single = [murmur(t) for t in tokens]
+    return [h & (buckets - 1) for h in single] + [murmur(b, h) & (buckets - 1) for h, b in zip(single, [*tokens[1:], None], strict=True) if b is not None] + [h & (buckets - 1) for h in single[-1:]]
+
+
+def rule_verdicts(rows, trusted, config):
+    """doc_id -> (score, kept) by counting every document."""
+    raw, target, found = np.zeros(config.buckets), np.zeros(config.buckets), {}
+    for d, text in rows:
+        found[d] = np.array(rule_features(text, config.buckets), int)
+        np.add.at(raw, found[d], 1)
+        if d in trusted:
+            np.add.at(target, found[d], 1)
+    a, b = config.smoothing, config.smoothing * config.buckets
+    ratio = np.log((target + a) / (target.sum() + b)) - np.log((raw + a) / (raw.sum() + b))
+    out = {}
+    for d, text in rows:
+        score = float(ratio[found[d]].mean()) if len(found[d]) else None
+        out[d] = (score, not base_rules(text)["base_failed"] and (not target.sum() or (score is not None and score >= config.threshold)))
+    return out
