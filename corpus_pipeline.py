@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next one's ``docs``.  All but the last
-return the columns of ``documents``.
+return the columns of ``documents``, and any others that ``docs`` has.
+
+Defined cases: a text that is null or has no letter goes in the first stage, as
+its language is unknown; empty tables give empty tables; of rows that are equal
+in doc_id and text one stays after the second stage, and rows that share a
+doc_id but differ in text, or have none, are documents of their own there;
+texts of any length are taken whole; extra columns may have any name.
 """
 
 from __future__ import annotations
@@ -12,23 +18,33 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import bpe, langid, minhash, mixing, secrets
 from spanloom.llm.queries import RANKS, table
-from spanloom.llm.sampling import remainder
-from spanloom.llm.shared import stored
+from spanloom.llm.sampling import maybe_in, remainder
+from spanloom.llm.shared import discard, scratch, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, and those between two languages."""
     model = langid.LanguageModel.fit(langid.language_sample(docs.where(remainder("doc_id", 5) != 0)))
-    found = langid.identify_language(docs.select(F.struct("*").alias("row"), "text"), model, keep=("row",))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous")).select("row.*")
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    found = langid.identify_language(docs.select(others, "text"), model)
+    same = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous")).select(*same)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: five-word shingles, similarity of 0.8 or more."""
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), minhash.NearConfig(shingle=5, percent=80, bands=32, rows=5))
-    stay = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id is null"))
+    """Keeps one document of each group: five-word shingles, similarity of 0.8 or more.
+
+    Documents are known by their doc_id; where it is null, or rows with
+    different texts share it, by a hash of doc_id and text.
+    """
+    texts = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"))
+    rows = maybe_in(docs.select(F.struct("*").alias("row"), "doc_id"), texts.where("low <> high"), "doc_id")
+    own = F.when(F.col("maybe") | F.col("doc_id").isNull(), F.xxhash64("doc_id", "row.text")).otherwise(F.col("doc_id").cast("long"))
+    known = rows.select(own.alias("doc_id"), "row")
+    found = minhash.near_duplicates(known.select("doc_id", "row.text"), minhash.NearConfig(shingle=5, percent=80, bands=32, rows=5))
+    stay = found.where("kept").select("doc_id").distinct()
+    # rows that are equal in both differ in other columns at most
+    return known.join(stay, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,21 +60,19 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     of its id, so that a source comes out near its target.
     """
     mixed = mixing.mix_sources(docs.select("doc_id", "source", "text")).documents
-    share = mixed.groupBy(F.col("doc_id").alias("id")).agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("share"))
+    share = mixed.groupBy("doc_id").agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("share"))
     chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
-    copies = F.floor(F.col("share") + chance).cast("int")
-    each = docs.join(share, docs["doc_id"].eqNullSafe(share["id"])).withColumn("copies", copies).where("copies > 0")
-    return each.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    copies = share.select("doc_id", F.floor(F.col("share") + chance).cast("int").alias("copies")).where("copies > 0")
+    rows = docs.select("doc_id", F.struct("*").alias("row")).alias("d").join(copies.alias("c"), F.expr("d.doc_id <=> c.doc_id"))
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each text, and whether they decode to it byte by byte."""
     import public_tokenizers
 
-    how = (public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    encoded = bpe.encode(docs.select("doc_id", "text"), *how)
-    back = bpe.decode(encoded, *how)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("intact"))
+    coded = bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", "ids", "intact")
 
 
 STAGES = [
@@ -74,7 +88,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before = docs
+        with scratch():  # what a stage wrote for itself goes with it
+            made = stage(spark, docs, sf_dir)
+            docs = stored(made, f"pipeline-{name}", keep=True)
+        discard(before)
     return docs
 
 
