@@ -56,13 +56,9 @@ def snap(edges: DataFrame, boundaries: DataFrame) -> DataFrame:
     names = [c for c in edges.columns if c not in ("source", "at")]
     marks = boundaries.select("source", "at", *[F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in names], F.col("at").alias("mark")).distinct()
     both = edges.select("source", "at", *names, F.lit(None).cast(edges.schema["at"].dataType).alias("mark")).unionByName(marks)
-    order = Window.partitionBy("source").orderBy("at")
-    both = both.withColumns(
-        {
-            "low": F.last("mark", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)),
-            "high": F.first("mark", ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing)),
-        }
-    )
+    # both are running frames, each in its own order: a frame to the end would be gone through anew for every row
+    so_far = lambda order: F.last("mark", ignorenulls=True).over(Window.partitionBy("source").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    both = both.withColumns({"low": so_far(F.asc("at")), "high": so_far(F.desc("at"))})
     nearest = F.when(F.col("high").isNull() | (F.col("at") - F.col("low") <= F.col("high") - F.col("at")), F.col("low")).otherwise(F.col("high"))
     return both.where("mark is null").select("source", "at", *names, nearest.alias("snapped"))
 
