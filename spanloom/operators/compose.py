@@ -15,22 +15,32 @@ WIDE_TRANSFERS = ("smpte2084", "arib-std-b67")
 LOUDNESS = {"I": -14.0, "TP": -1.0, "LRA": 11.0}
 
 
-def active_overlays(times: DataFrame, overlays: DataFrame) -> DataFrame:
-    """edl_id, at, z and local: overlays shown at each time (both ends included), and their own time there."""
+def _dealt(overlays: DataFrame, width: float) -> DataFrame:
+    """``overlays`` with ``slot``: each of the stretches of ``width`` that it is shown in (both ends included)."""
+    return overlays.withColumn("slot", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("start") + F.col("duration")) / width))))
+
+
+def active_overlays(times: DataFrame, overlays: DataFrame, width: float) -> DataFrame:
+    """edl_id, at, z and local: overlays shown at each time (both ends included), and their own time there.
+
+    Both sides are dealt to stretches of ``width``, so a long list is many groups.
+    """
     shown = F.col("at").between(F.col("start"), F.col("start") + F.col("duration"))
-    return times.join(overlays, "edl_id").where(shown).select("edl_id", "at", "z", (F.col("at") - F.col("start")).alias("local"))
+    found = times.withColumn("slot", F.floor(F.col("at") / width)).join(_dealt(overlays, width), ["edl_id", "slot"]).where(shown)
+    return found.select("edl_id", "at", "z", (F.col("at") - F.col("start")).alias("local"))
 
 
-def top_layer(times: DataFrame, overlays: DataFrame) -> DataFrame:
+def top_layer(times: DataFrame, overlays: DataFrame, width: float) -> DataFrame:
     """edl_id, at, z and local of the uppermost overlay; null where none is shown."""
-    found = active_overlays(times, overlays).groupBy("edl_id", "at").agg(F.max("z").alias("z"), F.max_by("local", "z").alias("local"))
+    found = active_overlays(times, overlays, width).groupBy("edl_id", "at").agg(F.max("z").alias("z"), F.max_by("local", "z").alias("local"))
     return times.select("edl_id", "at").distinct().join(found, ["edl_id", "at"], "left")
 
 
-def overlay_conflicts(overlays: DataFrame) -> DataFrame:
-    """Pairs of overlays of one list that are shown at once (z < other)."""
-    other = overlays.select("edl_id", F.col("z").alias("other"), F.col("start").alias("other_start"), (F.col("start") + F.col("duration")).alias("other_stop"))
-    both = overlays.join(other, "edl_id").where("z < other")
+def overlay_conflicts(overlays: DataFrame, width: float) -> DataFrame:
+    """Pairs of overlays of one list that are shown at once (z < other); a pair is found where the later one begins."""
+    dealt = _dealt(overlays, width)
+    other = dealt.select("edl_id", "slot", F.col("z").alias("other"), F.col("start").alias("other_start"), (F.col("start") + F.col("duration")).alias("other_stop"))
+    both = dealt.join(other, ["edl_id", "slot"]).where("z < other").where(F.col("slot") == F.floor(F.greatest("start", "other_start") / width))
     apart = (F.col("start") > F.col("other_stop")) | (F.col("other_start") > F.col("start") + F.col("duration"))
     return both.where(~apart).select("edl_id", "z", "other", F.greatest("start", "other_start").alias("low"), F.least(F.col("start") + F.col("duration"), "other_stop").alias("high"))
 

@@ -20,6 +20,9 @@ GAP = 500
 EVENT_GAP = 6 * 3600 * 1_000_000
 PAGE_EXTENSIONS = (".html", ".htm", *readers.MEDIA_EXTENSIONS)
 
+#: Stretches that overlays are dealt to, in milliseconds.
+WIDTH_MS = 60_000
+
 
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
@@ -204,18 +207,18 @@ def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def overlay_active(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compose.active_overlays(*_layers(spark, sf_dir))
+    return compose.active_overlays(*_layers(spark, sf_dir), WIDTH_MS)
 
 
 @query
 def top_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compose.top_layer(*_layers(spark, sf_dir))
+    return compose.top_layer(*_layers(spark, sf_dir), WIDTH_MS)
 
 
 @query
 def overlay_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlays made a minute long, so that some meet."""
-    return compose.overlay_conflicts(_layers(spark, sf_dir)[1].withColumn("duration", F.lit(60_000).cast("long")))
+    return compose.overlay_conflicts(_layers(spark, sf_dir)[1].withColumn("duration", F.lit(60_000).cast("long")), WIDTH_MS)
 
 
 @query

@@ -85,7 +85,7 @@ def loudness(logs: DataFrame, column: str = "log") -> DataFrame:
 
 
 def read_pcm(spark: SparkSession, path: str) -> DataFrame:
-    """source and values (-1 to 1) of mono 16-bit WAV files; none if a file cannot be read."""
+    """source and values (-1 to 1) of mono 16-bit WAV files; none if a file cannot be read or is of another form."""
     import io
     import wave
 
@@ -97,7 +97,7 @@ def read_pcm(spark: SparkSession, path: str) -> DataFrame:
             for content in batch["content"]:
                 try:
                     with wave.open(io.BytesIO(content)) as w:
-                        raw = w.readframes(w.getnframes())
+                        raw = w.readframes(w.getnframes()) if (w.getnchannels(), w.getsampwidth()) == (1, 2) else b""
                     rows.append((np.frombuffer(raw[: len(raw) // 2 * 2], "<i2").astype(np.float32) / 32768).tolist())
                 except (wave.Error, EOFError):
                     rows.append([])

@@ -36,7 +36,8 @@ def speaker_sessions(tokens: DataFrame, gap_seconds: float, late: str) -> DataFr
     The speaker of a session is that of its first token; without one it is not
     split by speaker.  A session is sent when a later one begins, or when the
     watermark passes its end by the gap.  Tokens of a source within one
-    micro-batch are ordered by time; across batches they come in order.
+    micro-batch are ordered by time; across batches they should come in order: one
+    that is older than the open session joins it and widens it.
     """
     gap = pd.Timedelta(seconds=gap_seconds)
 
@@ -53,7 +54,7 @@ def speaker_sessions(tokens: DataFrame, gap_seconds: float, late: str) -> DataFr
                 if now and (at - now[1] >= gap or (now[2] is not None and speaker is not None and speaker != now[2])):
                     done.append(now)
                     now = None
-                now = [now[0], at, now[2], now[3] + 1] if now else [at, at, speaker, 1]
+                now = [min(now[0], at), max(now[1], at), now[2], now[3] + 1] if now else [at, at, speaker, 1]
             state.update(tuple(now))
             state.setTimeoutTimestamp(max(int((now[1] + gap).timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame([(key[0], *x) for x in done], columns=["source", "start", "stop", "speaker", "n"])
