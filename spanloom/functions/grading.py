@@ -21,6 +21,7 @@ def clamp(value: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), value))
 
 
+# The limits and steps of the rules.
 def corrections(y_mean: Column, y_range: Column, saturation: Column) -> dict[str, Column]:
     """Contrast, gamma and saturation for a clip."""
     flat = F.lit(1.08) - F.lit(0.05) * clamp((y_range - 0.50) / 0.15, 0.0, 1.0)
@@ -51,6 +52,21 @@ def color_transform(value: Column, slope: float, offset: float, power: float) ->
     return F.pow(F.greatest(value * slope + offset, F.lit(0.0)), F.lit(power))
 
 
+def sampling_rate(n: int, seconds: Column) -> Column:
+    """Frames a second for about ``n`` frames of a clip, from 0.5 to 10."""
+    return clamp(F.lit(float(n)) / F.greatest(seconds, F.lit(0.1)), 0.5, 10.0)
+
+
+#: The weights of red, green and blue in brightness.
+LUMA = (0.2126, 0.7152, 0.0722)
+
+
+def saturate(red: Column, green: Column, blue: Column, saturation: float) -> list[Column]:
+    """The three channels drawn towards (below 1) or away from their brightness."""
+    grey = red * LUMA[0] + green * LUMA[1] + blue * LUMA[2]
+    return [grey + (c - grey) * saturation for c in (red, green, blue)]
+
+
 def ease_out(t: Column) -> Column:
     return 1 - F.pow(1 - t, F.lit(3.0))
 

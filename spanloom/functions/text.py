@@ -52,8 +52,18 @@ def escape_path(path: Column) -> Column:
 
 
 def resolve_path(path: Column, base: Column) -> Column:
-    """Absolute paths as they are, others below ``base``."""
-    return F.when(path.startswith("/"), path).otherwise(F.concat(base, F.lit("/"), path))
+    """Absolute paths as they are, others below ``base``, with ``.`` and ``..`` taken out of those."""
+    steps = F.filter(F.split(F.concat(base, F.lit("/"), path), "/"), lambda x: ~x.isin("", "."))
+    none = F.array().cast("array<string>")
+    up = lambda kept: F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+    plain = F.aggregate(steps, none, lambda kept, x: F.when(x == "..", up(kept)).otherwise(F.concat(kept, F.array(x))))
+    below = F.concat(F.when(base.startswith("/"), F.lit("/")).otherwise(F.lit("")), F.array_join(plain, "/"))
+    return F.when(path.startswith("/"), path).otherwise(below)
+
+
+def shorten(text: Column, characters: int) -> Column:
+    """The first ``characters``, with three dots where more followed."""
+    return F.when(F.length(text) > characters, F.concat(F.substring(text, 1, characters), F.lit("..."))).otherwise(text)
 
 
 def first_filled(*columns: Column) -> Column:

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.timecode import fixed
 
-# The style of captions, the tone mapping of wide-range sources and the loudness aims.
+# The style of captions, the tone mapping of wide-range sources, the loudness aims,
+# the encoder settings and the length that stands for an unknown one.
 CAPTION_STYLE = "FontName=Helvetica,FontSize=18,Bold=1,PrimaryColour=&H00FFFFFF,OutlineColour=&H00000000,BackColour=&H00000000,BorderStyle=1,Outline=2,Shadow=0,Alignment=2,MarginV=90"
 TONE_MAP = "zscale=t=linear:npl=100,format=gbrpf32le,zscale=p=bt709,tonemap=tonemap=hable:desat=0,zscale=t=bt709:m=bt709:r=tv,format=yuv420p"
 WIDE_TRANSFERS = ("smpte2084", "arib-std-b67")
 LOUDNESS = {"I": -14.0, "TP": -1.0, "LRA": 11.0}
+DRAFT, PREVIEW, FINAL = ("ultrafast", "28"), ("medium", "22"), ("fast", "20")
+DEFAULT_SECONDS = 10.0
 
 
-def _dealt(overlays: DataFrame, width: float) -> DataFrame:
+def dealt_overlays(overlays: DataFrame, width: float) -> DataFrame:
     """``overlays`` with ``slot``: each of the stretches of ``width`` that it is shown in (both ends included)."""
     return overlays.withColumn("slot", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("start") + F.col("duration")) / width))))
 
@@ -26,7 +29,7 @@ def active_overlays(times: DataFrame, overlays: DataFrame, width: float) -> Data
     Both sides are dealt to stretches of ``width``, so a long list is many groups.
     """
     shown = F.col("at").between(F.col("start"), F.col("start") + F.col("duration"))
-    found = times.withColumn("slot", F.floor(F.col("at") / width)).join(_dealt(overlays, width), ["edl_id", "slot"]).where(shown)
+    found = times.withColumn("slot", F.floor(F.col("at") / width)).join(dealt_overlays(overlays, width), ["edl_id", "slot"]).where(shown)
     return found.select("edl_id", "at", "z", (F.col("at") - F.col("start")).alias("local"))
 
 
@@ -38,7 +41,7 @@ def top_layer(times: DataFrame, overlays: DataFrame, width: float) -> DataFrame:
 
 def overlay_conflicts(overlays: DataFrame, width: float) -> DataFrame:
     """Pairs of overlays of one list that are shown at once (z < other); a pair is found where the later one begins."""
-    dealt = _dealt(overlays, width)
+    dealt = dealt_overlays(overlays, width)
     other = dealt.select("edl_id", "slot", F.col("z").alias("other"), F.col("start").alias("other_start"), (F.col("start") + F.col("duration")).alias("other_stop"))
     both = dealt.join(other, ["edl_id", "slot"]).where("z < other").where(F.col("slot") == F.floor(F.greatest("start", "other_start") / width))
     apart = (F.col("start") > F.col("other_stop")) | (F.col("other_start") > F.col("start") + F.col("duration"))
@@ -91,7 +94,7 @@ def scale_step(portrait: Column, draft: bool) -> Column:
 
 def codec_settings(draft: bool, preview: bool) -> tuple[str, str]:
     """Encoder preset and rate factor."""
-    return ("ultrafast", "28") if draft else ("medium", "22") if preview else ("fast", "20")
+    return DRAFT if draft else PREVIEW if preview else FINAL
 
 
 def fades(seconds: Column) -> Column:
@@ -99,6 +102,17 @@ def fades(seconds: Column) -> Column:
     return F.concat(F.lit("afade=t=in:st=0:d=0.03,afade=t=out:st="), fixed(F.greatest(F.lit(0.0), seconds - 0.03), 3), F.lit(":d=0.03"))
 
 
+def media_info(probes: DataFrame) -> DataFrame:
+    """source, path, transfer, portrait and seconds from probe texts (source, path, transfer, width, height, duration).
+
+    What cannot be read is neither wide nor portrait, and lasts 10 s.
+    """
+    whole = lambda c: F.trim(c).try_cast("int")
+    portrait = F.coalesce(whole(F.col("height")) > whole(F.col("width")), F.lit(False))
+    seconds = F.coalesce(F.trim("duration").try_cast("double"), F.lit(DEFAULT_SECONDS))
+    return probes.select("source", "path", F.trim("transfer").alias("transfer"), portrait.alias("portrait"), seconds.alias("seconds"))
+
+
 def render_plan(ranges: DataFrame, media: DataFrame, grade: Column, per_second: float, draft: bool = False, preview: bool = False) -> DataFrame:
     """One row for each range: names, times, video and sound filters, encoder settings.
 

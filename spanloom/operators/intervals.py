@@ -76,6 +76,21 @@ def boundary_windows(placed: DataFrame, around: float) -> DataFrame:
     return cuts.select("edl_id", "ord", F.col("offset").alias("at"), F.greatest(F.lit(0), F.col("offset") - around).alias("low"), F.least("total", F.col("offset") + around).alias("high"))
 
 
+def inspection_windows(placed: DataFrame, around: float, ends: float, middles: int = 3) -> DataFrame:
+    """edl_id, kind, n, low and high: the stretches of an output to look at.
+
+    ``start`` and ``end``, ``middles`` evenly spaced points (``middle``), and
+    the stretch around each ``cut``, all within the whole.
+    """
+    whole = placed.groupBy("edl_id").agg(F.max(F.col("offset") + F.col("stop") - F.col("start")).alias("total"))
+    row = lambda kind, n, low, high: F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("n"), low.cast("double").alias("low"), high.cast("double").alias("high"))
+    total = F.col("total")
+    points = [total * (i + 1) / (middles + 1) for i in range(middles)]
+    fixed = [row("start", 0, F.lit(0), F.least(total, F.lit(ends))), row("end", 0, F.greatest(F.lit(0), total - ends), total), *[row("middle", i, at, at) for i, at in enumerate(points)]]
+    cuts = boundary_windows(placed, around).select("edl_id", F.lit("cut").alias("kind"), F.col("ord").alias("n"), F.col("low").cast("double"), F.col("high").cast("double"))
+    return whole.select("edl_id", F.inline(F.array(*fixed))).unionByName(cuts)
+
+
 def runtime(ranges: DataFrame) -> DataFrame:
     """edl_id, n_ranges and runtime."""
     return ranges.groupBy("edl_id").agg(F.count("*").alias("n_ranges"), F.sum(F.col("stop") - F.col("start")).alias("runtime"))
@@ -90,6 +105,11 @@ def best_by(rows: DataFrame, key: str, score: str, tie: str) -> DataFrame:
     return rows.groupBy(key).agg(best.alias("best")).select(key, f"best.{tie}", f"best.{score}")
 
 
+def latest(rows: DataFrame, by: str, order: str, tie: str) -> DataFrame:
+    """The last row of each ``by``, such as the last session in a memory; ties to the largest ``tie``."""
+    return rows.groupBy(by).agg(F.max_by(F.struct(*rows.columns), F.struct(order, tie)).alias("row")).select("row.*")
+
+
 def split_by_presence(items: DataFrame, present: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """The items whose key is present, and the others (all copies stay)."""
     keys = present.select(key)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from .intervals import overlap_join
 
 
@@ -27,17 +28,39 @@ def frame_statistics(frames: DataFrame, clip: str) -> DataFrame:
     """y_mean, y_range and sat_mean of each clip from its frames (clip, frame_no, yavg, ymin, ymax, satavg, ybitdepth).
 
     Means are over the frames that have the value, on a scale of 0 to 1; the
-    last depth named holds (8 if none).  Without values: 0.5, 0.7 and 0.25.
+    last depth named holds (8 if none).  Without yavg: 0.5, 0.72 and 0.25; without
+    one of the others 0.7 and 0.25.
     """
     depth = F.coalesce(F.max_by("ybitdepth", F.when(F.col("ybitdepth").isNotNull(), F.col("frame_no"))), F.lit(8))
     rows = frames.groupBy(clip).agg(*[F.avg(c).alias(c) for c in ("yavg", "ymin", "ymax", "satavg")], depth.alias("depth"))
+    return _scaled(rows, clip)
+
+
+def line_statistics(values: DataFrame, clip: str) -> DataFrame:
+    """The same from statistics lines (clip, pos, key, value; see readers.frame_values), by one aggregate.
+
+    Each line is one frame's value, so no frame has to be put together first.
+    """
+    of = lambda key: F.when(F.col("key") == key, F.col("value"))
+    depth = F.coalesce(F.max_by(of("YBITDEPTH").cast("int"), F.when(F.col("key") == "YBITDEPTH", F.col("pos"))), F.lit(8))
+    rows = values.groupBy(clip).agg(*[F.avg(of(key)).alias(key.lower()) for key in ("YAVG", "YMIN", "YMAX", "SATAVG")], depth.alias("depth"))
+    return _scaled(rows, clip)
+
+
+# What stands for a clip that could not be looked at, and for a value that was not named.
+UNSEEN = (0.5, 0.72, 0.25)
+UNNAMED_RANGE, UNNAMED_SATURATION = 0.7, 0.25
+
+
+def _scaled(rows: DataFrame, clip: str) -> DataFrame:
     full = F.pow(F.lit(2.0), F.col("depth")) - 1
-    return rows.select(
-        clip,
-        F.coalesce(F.col("yavg") / full, F.lit(0.5)).alias("y_mean"),
-        F.coalesce((F.col("ymax") - F.col("ymin")) / full, F.lit(0.7)).alias("y_range"),
-        F.coalesce(F.col("satavg") / full, F.lit(0.25)).alias("sat_mean"),
-    )
+    seen = F.col("yavg").isNotNull()
+    of_all = {
+        "y_mean": F.col("yavg") / full,
+        "y_range": F.coalesce((F.col("ymax") - F.col("ymin")) / full, F.lit(UNNAMED_RANGE)),
+        "sat_mean": F.coalesce(F.col("satavg") / full, F.lit(UNNAMED_SATURATION)),
+    }
+    return rows.select(clip, *[F.when(seen, x).otherwise(F.lit(unseen)).alias(name) for (name, x), unseen in zip(of_all.items(), UNSEEN)])
 
 
 def frame_times(start: Column, stop: Column, n: int) -> Column:
@@ -65,7 +88,7 @@ def thin_labels(ranges: DataFrame, tokens: DataFrame, width: float, shortest: fl
     What is kept depends on what was kept before, so the labels of a range are
     folded in order; a range is one row by then.
     """
-    inside = overlap_join(ranges, tokens, width).where("type = 'word' and trim(text) <> ''").where(F.col("token_stop") - F.col("token_start") >= shortest)
+    inside = overlap_join(ranges, tokens, width).where("type = 'word'").withColumn("text", T.strip(F.col("text"))).where("text <> ''").where(F.col("token_stop") - F.col("token_start") >= shortest)
     spot = lambda c: place(F.col(c), F.col("start"), F.col("stop"), left, span)
     x = F.floor((spot("token_start") + spot("token_stop")) / 2).cast("int")
     label = F.struct("pos", x.alias("x"), "text")
@@ -80,6 +103,27 @@ def thin_labels(ranges: DataFrame, tokens: DataFrame, width: float, shortest: fl
     return rows.select("edl_id", "ord", F.inline(fold["kept"]))
 
 
-def running_maximum(rows: DataFrame, by: str, order: str, value: str) -> DataFrame:
-    """``rows`` with ``reached``: the largest ``value`` so far."""
-    return rows.withColumn("reached", F.max(value).over(Window.partitionBy(by).orderBy(order)))
+# The drawing's sizes in pixels.
+FRAME_HEIGHT, MARGIN, APART, STRIP_TOP, LEAST_CONTENT, CANVAS = 180, 50, 4, 50, 1400, 1920
+
+
+def strip_layout(frames: Column, widest: int = 1 << 30) -> Column:
+    """From an array of frames (width, height): the canvas width, and the place and size of each frame.
+
+    Frames get one height.  The canvas grows with them up to ``widest``; if they
+    do not fit, all are made smaller and stand in the middle of the strip.  A struct of canvas, drawn
+    and places (i, x, y, width, height), by array expressions on one row.
+    """
+    wide = F.transform(frames, lambda f: (F.lit(FRAME_HEIGHT) * (f["width"] / f["height"])).cast("int"))
+    none = F.array().cast("array<int>")
+    total = F.aggregate(wide, F.lit(0), lambda a, x: a + x) + F.greatest(F.size(wide) - 1, F.lit(0)) * APART
+    canvas = F.least(F.lit(widest), F.greatest(F.lit(CANVAS), F.greatest(F.lit(LEAST_CONTENT), total) + 2 * MARGIN))
+    strip = canvas - 2 * MARGIN
+    scale = F.when(total <= strip, F.lit(1.0)).otherwise(strip / total)
+    widths = F.transform(wide, lambda x: (x * scale).cast("int"))
+    gap = F.when(scale == 1.0, F.lit(APART)).otherwise(F.greatest(F.lit(2), (APART * scale).cast("int")))
+    height = (F.lit(FRAME_HEIGHT) * scale).cast("int")
+    begin = F.aggregate(widths, F.struct(none.alias("xs"), F.lit(MARGIN).alias("at")), lambda s, x: F.struct(F.concat(s["xs"], F.array(s["at"])).alias("xs"), (s["at"] + x + gap).alias("at")))
+    top = F.lit(STRIP_TOP) + F.floor((F.lit(FRAME_HEIGHT) - height) / 2).cast("int")
+    each = lambda x, i: F.struct(i.alias("i"), x.alias("x"), top.alias("y"), F.element_at(widths, i + 1).alias("width"), height.alias("height"))
+    return F.struct(canvas.alias("canvas"), (begin["at"] - MARGIN).alias("drawn"), F.transform(begin["xs"], each).alias("places"))

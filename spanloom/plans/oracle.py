@@ -192,4 +192,35 @@ SELECT c.edl_id, coalesce(shifts || ';' || lays || ';[v' || n || ']', '[0:v]') |
     "event_sessions": """WITH m AS (SELECT user_id, ts, ts - lag(ts) OVER w >= INTERVAL 6 HOUR AS far FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(CASE WHEN far THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM m)
 SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) AS stop_us, count(*) AS n FROM s GROUP BY user_id, session""",
+    "line_stats": """WITH lines AS (SELECT l_orderkey AS clip, pow(2, 8 + l_orderkey % 2 * 2) - 1 AS scale, round(l_quantity * 4) AS yavg, round(l_discount * 100) AS d, l_linenumber AS n FROM lineitem)
+SELECT clip, round(avg(yavg) / min(scale), 9) AS y_mean, round(coalesce((avg(d + 120) - avg(d) FILTER (n <> 3)) / min(scale), 0.7), 9) AS y_range, CAST(0.25 AS DOUBLE) AS sat_mean FROM lines GROUP BY clip""",
+    "range_errors": _with(TOKENS, TURNS)
+    + """, faulty AS (SELECT edl_id, ord, source, CASE WHEN ord % 5 = 2 THEN NULL ELSE start END AS start, CASE WHEN ord % 3 = 1 THEN start ELSE stop END AS stop FROM ranges),
+known AS (SELECT DISTINCT edl_id, unnest([source, source + 1]) AS source FROM ranges),
+names AS (SELECT edl_id, string_agg(CAST(source AS VARCHAR), ', ' ORDER BY CAST(source AS VARCHAR)) AS known, list(source) AS ids FROM known WHERE source % 7 <> 0 GROUP BY edl_id)
+SELECT edl_id, ord, 'start is missing' AS error FROM faulty WHERE start IS NULL
+UNION ALL SELECT edl_id, ord, 'stop must be after start' FROM faulty WHERE stop <= start
+UNION ALL SELECT f.edl_id, ord, 'unknown source ' || source || ', known: ' || coalesce(known, '') FROM faulty f LEFT JOIN names n ON n.edl_id = f.edl_id WHERE NOT coalesce(list_contains(ids, source), false)""",
+    "failure_counts": """SELECT source, count(*) AS n, count(*) FILTER (length(text) > 900) AS n_failed, substr(min(text) FILTER (length(text) > 900), 1, 500) || '...' AS first_error FROM documents GROUP BY source""",
+    "covered_cues": _with(TOKENS, TURNS, INSIDE, CUES) + " SELECT c.edl_id, cue_no, z, least(out_stop, o.start + duration) - greatest(out_start, o.start) AS covered FROM cues c JOIN overlays o ON o.edl_id = c.edl_id AND out_start < o.start + duration AND o.start < out_stop",
+    "inspection_windows": _with(TOKENS, TURNS)
+    + """, whole AS (SELECT edl_id, CAST(max("offset" + stop - start) AS DOUBLE) AS total FROM placed GROUP BY edl_id)
+SELECT edl_id, 'start' AS kind, 0 AS n, CAST(0 AS DOUBLE) AS low, least(total, 2000) AS high FROM whole
+UNION ALL SELECT edl_id, 'end', 0, greatest(0, total - 2000), total FROM whole
+UNION ALL SELECT edl_id, 'middle', CAST(i AS INT), total * (i + 1) / 4, total * (i + 1) / 4 FROM (SELECT *, unnest(range(3)) AS i FROM whole)
+UNION ALL SELECT p.edl_id, 'cut', ord, greatest(0, "offset" - 1500), least(total, "offset" + 1500) FROM placed p JOIN whole w ON w.edl_id = p.edl_id WHERE ord > 0""",
+    "strip_layout": _with(TOKENS, TURNS)
+    + """, f AS (SELECT edl_id, ord, i, CAST(trunc(180 * (CAST(160 + (ord * 37 + i * 53) % 400 AS DOUBLE) / (90 + source % 200))) AS BIGINT) AS w FROM (SELECT *, unnest(range(5)) AS i FROM ranges)),
+g AS (SELECT edl_id, ord, sum(w) + 16 AS total FROM f GROUP BY edl_id, ord),
+s AS (SELECT f.*, CASE WHEN total <= 1820 THEN 1.0::DOUBLE ELSE 1820::DOUBLE / total END AS scale FROM f JOIN g ON g.edl_id = f.edl_id AND g.ord = f.ord),
+t AS (SELECT edl_id, ord, i, CAST(trunc(w * scale) AS BIGINT) AS width, CAST(trunc(180 * scale) AS BIGINT) AS height, CASE WHEN scale = 1 THEN 4 ELSE greatest(2, CAST(trunc(4 * scale) AS BIGINT)) END AS gap FROM s)
+SELECT edl_id, ord, 1920 AS canvas, CAST(sum(width + gap) OVER (PARTITION BY edl_id, ord) AS BIGINT) AS drawn, CAST(i AS INT) AS i, CAST(50 + coalesce(sum(width + gap) OVER (PARTITION BY edl_id, ord ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS x, 50 + (180 - height) // 2 AS y, width, height FROM t""",
+    "media_info": """SELECT p_partkey AS source, '/media/' || p_partkey AS path, 'bt709' AS transfer, p_partkey % 5 <> 0 AND 1080 > p_size * 40 AS portrait, CASE WHEN p_partkey % 3 = 0 THEN CAST(10 AS DOUBLE) ELSE p_partkey % 90 + CAST(0.5 AS DOUBLE) END AS seconds FROM part""",
+    "sampling_rate": _with(TOKENS, TURNS) + " SELECT edl_id, ord, round(greatest(0.5, least(10.0, 10 / greatest(CAST((stop - start) / 1000.0 AS DOUBLE), CAST(0.1 AS DOUBLE)))), 6) AS rate FROM ranges",
+    "saturation": """WITH c AS (SELECT p_partkey, list_transform([50, 60, 80], lambda b: pow(greatest(p_size / b * CAST(1.1 AS DOUBLE) - CAST(0.03 AS DOUBLE), 0.0), CAST(0.9 AS DOUBLE))) AS v FROM part),
+g AS (SELECT *, v[1] * CAST(0.2126 AS DOUBLE) + v[2] * CAST(0.7152 AS DOUBLE) + v[3] * CAST(0.0722 AS DOUBLE) AS grey FROM c)
+SELECT p_partkey, round(grey + (v[1] - grey) * CAST(0.88 AS DOUBLE), 6) AS red, round(grey + (v[2] - grey) * CAST(0.88 AS DOUBLE), 6) AS green, round(grey + (v[3] - grey) * CAST(0.88 AS DOUBLE), 6) AS blue FROM g""",
+    "latest_entry": "SELECT user_id, event_id, epoch_us(ts) AS at, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+    "default_paths": """SELECT doc_id, '/takes/' || doc_id % 10 || '/' || doc_id || '.v1.mp4' AS path, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN '/takes/' || doc_id % 10 || '/edit/transcripts/' || doc_id || '.v1.json' END AS transcript FROM documents""",
+    "resolved_paths": "SELECT p_partkey, ['/abs/a.mp4', '/edit/one/a.mp4', '/edit/one/b/a.mp4', '/edit/a.mp4', '/edit/c/a.mp4'][p_partkey % 5 + 1] AS path FROM part",
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import grading, timecode
-from ..operators import compose, cues, intervals, sessions, signals
+from ..functions import grading, text, timecode
+from ..operators import checks, compose, cues, intervals, sessions, signals
 from ..sources import readers
 from ..sources.tables import BUCKET, conversation_overlays, conversation_ranges, conversation_tokens, event_tokens, order_clips, table, turns
 from ..streaming.sessions import gap_sessions
@@ -287,3 +287,106 @@ def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     found = gap_sessions(rows, "user_id", "ts", 6 * 3600)
     return found.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("stop").alias("stop_us"), "n")
+
+
+@query
+def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics lines of line items, some of them broken: even orders have 8 bits, odd ones 10."""
+    named = lambda key, value: F.concat(F.lit(f"lavfi.signalstats.{key}="), value.cast("string"))
+    whole = lambda c, by: F.round(F.col(c) * by).cast("int")
+    lines = F.array(
+        F.concat(F.lit("frame:"), F.col("l_linenumber").cast("string")),
+        named("YBITDEPTH", F.col("l_orderkey") % 2 * 2 + 8),
+        named("YAVG", whole("l_quantity", 4)),
+        named("YMIN", F.when(F.col("l_linenumber") == 3, "").otherwise(whole("l_discount", 100).cast("string"))),
+        named("YMAX", whole("l_discount", 100) + 120),
+    )
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("clip"), F.posexplode(lines).alias("pos", "line"))
+    found = signals.line_statistics(readers.frame_values(rows), "clip")
+    return found.select("clip", *[F.round(c, 9).alias(c) for c in ("y_mean", "y_range", "sat_mean")])
+
+
+@query
+def range_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges with planted faults: turned round, without a start, of unlisted sources."""
+    tokens, ranges = _ranges(spark, sf_dir)
+    stop = F.when(F.col("ord") % 3 == 1, F.col("start")).otherwise(F.col("stop"))
+    start = F.when(F.col("ord") % 5 == 2, F.lit(None)).otherwise(F.col("start")).cast("long")
+    sources = ranges.select("edl_id", F.explode(F.array(F.col("source"), F.col("source") + 1)).alias("source")).distinct().where("source % 7 <> 0")
+    return checks.range_errors(ranges.withColumns({"stop": stop, "start": start}), sources)
+
+
+@query
+def failure_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of more than 900 characters as failures, with their text as the message."""
+    rows = table(spark, sf_dir, "documents").select("source", F.when(F.length("text") > 900, F.col("text")).alias("error"))
+    return checks.failures(rows, "source")
+
+
+@query
+def covered_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens, ranges = _ranges(spark, sf_dir)
+    return checks.covered_cues(cues.cues(ranges, tokens, BUCKET, 400), conversation_overlays(tokens), WIDTH_MS)
+
+
+@query
+def inspection_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.inspection_windows(intervals.offsets(_ranges(spark, sf_dir)[1]), 1500, 2000)
+
+
+@query
+def strip_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five frames for each range, on a canvas of 1920 at most."""
+    frame = lambda i: F.struct((F.lit(160) + (F.col("ord") * 37 + i * 53) % 400).alias("width"), (F.lit(90) + F.col("source") % 200).cast("int").alias("height"))
+    rows = _ranges(spark, sf_dir)[1].withColumn("layout", signals.strip_layout(F.array(*[frame(i) for i in range(5)]), 1920))
+    return rows.select("edl_id", "ord", "layout.canvas", "layout.drawn", F.inline("layout.places"))
+
+
+@query
+def media_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and prices of parts as probe texts, some of them unreadable."""
+    probes = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("source"),
+        F.concat(F.lit("/media/"), F.col("p_partkey").cast("string")).alias("path"),
+        F.lit(" bt709 ").alias("transfer"),
+        F.when(F.col("p_partkey") % 5 == 0, "N/A").otherwise((F.col("p_size") * 40).cast("string")).alias("width"),
+        F.lit("1080").alias("height"),
+        F.when(F.col("p_partkey") % 3 == 0, "N/A").otherwise(F.concat((F.col("p_partkey") % 90).cast("string"), F.lit(".5"))).alias("duration"),
+    )
+    return compose.media_info(probes)
+
+
+@query
+def sampling_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranges(spark, sf_dir)[1].select("edl_id", "ord", F.round(grading.sampling_rate(10, (F.col("stop") - F.col("start")) / 1000), 6).alias("rate"))
+
+
+@query
+def saturation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The colour model on three channels, then the saturation."""
+    channels = [grading.color_transform(F.col("p_size") / by, 1.1, -0.03, 0.9) for by in (50, 60, 80)]
+    made = grading.saturate(*channels, 0.88)
+    return table(spark, sf_dir, "part").select("p_partkey", *[F.round(c, 6).alias(name) for name, c in zip(("red", "green", "blue"), made)])
+
+
+@query
+def latest_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event of each user."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "event_type")
+    return intervals.latest(rows, "user_id", "at", "event_id")
+
+
+@query
+def default_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents have a transcript beside their take."""
+    name = F.col("doc_id").cast("string")
+    folder = F.concat(F.lit("/takes/"), (F.col("doc_id") % 10).cast("string"), F.lit("/"))
+    videos = table(spark, sf_dir, "documents").select("doc_id", F.concat(folder, name, F.lit(".v1.mp4")).alias("path"))
+    files = table(spark, sf_dir, "labels").select(F.concat(folder, F.lit("edit/transcripts/"), name, F.lit(".v1.json")).alias("path"))
+    return readers.default_transcripts(videos, files)
+
+
+@query
+def resolved_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = F.element_at(F.array(*[F.lit(x) for x in ("/abs/a.mp4", "a.mp4", "./b/a.mp4", "../a.mp4", "b/../../c//a.mp4")]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.resolve_path(given, F.lit("/edit/one")).alias("path"))

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import embedded_object
+from ..functions.text import embedded_object, resolve_path
+from ..operators.checks import required_path
 
 # The extensions of media files, by case.
 MEDIA_EXTENSIONS = (".mp4", ".MP4", ".mov", ".MOV", ".mkv", ".MKV", ".avi", ".AVI", ".m4v")
@@ -51,16 +52,30 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     return each.select("source", "pos", "w.type", "w.text", "w.start", F.col("w.end").alias("stop"), F.col("w.speaker_id").alias("speaker"))
 
 
+def default_transcripts(videos: DataFrame, files: DataFrame) -> DataFrame:
+    """``videos`` (path, ...) with ``transcript``: the file in its folder's edit/transcripts, null where ``files`` (path) has none."""
+    folder = F.regexp_extract("path", "^(.*/)?[^/]*$", 1)
+    wanted = F.concat(folder, F.lit("edit/transcripts/"), stem(F.col("path")), F.lit(".json"))
+    there = files.select(F.col("path").alias("transcript")).distinct()
+    return videos.withColumn("wanted_transcript", wanted).join(there, F.col("wanted_transcript") == F.col("transcript"), "left").drop("wanted_transcript")
+
+
 def read_edls(spark: SparkSession, path: str) -> DataFrame:
     """Edit lists, one row each, with edl_id from the file's stem."""
     return spark.read.schema(EDL).json(path, multiLine=True).withColumn("edl_id", stem(F.col("_metadata.file_name")))
 
 
-def edl_ranges(edls: DataFrame) -> DataFrame:
-    """edl_id, ord, source, path, start, stop and note of each range; an unlisted source has a null path."""
+def edl_ranges(edls: DataFrame, folder: str | None = None, strict: bool = False) -> DataFrame:
+    """edl_id, ord, source, path, start, stop and note of each range.
+
+    An unlisted source has a null path, or stops the query if ``strict``.
+    Paths that are not absolute lie below ``folder``, where it is given.
+    """
     each = edls.select("edl_id", "sources", F.posexplode("ranges").alias("ord", "r"))
     note = F.coalesce(F.nullif("r.beat", F.lit("")), F.nullif("r.note", F.lit("")), F.lit(""))
-    return each.select("edl_id", "ord", "r.source", F.try_element_at("sources", F.col("r.source")).alias("path"), "r.start", F.col("r.end").alias("stop"), note.alias("note"))
+    path = required_path(F.col("sources"), F.col("r.source")) if strict else F.try_element_at("sources", F.col("r.source"))
+    path = path if folder is None else resolve_path(path, F.lit(folder))
+    return each.select("edl_id", "ord", "r.source", path.alias("path"), "r.start", F.col("r.end").alias("stop"), note.alias("note"))
 
 
 def edl_overlays(edls: DataFrame) -> DataFrame:

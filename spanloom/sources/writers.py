@@ -11,6 +11,11 @@ def write_lines(lines: DataFrame, path: str, *order: str, column: str = "line")
     lines.orderBy(*order).select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
+def append_entry(rows: DataFrame, path: str) -> None:
+    """Append a session's rows to a memory; operators.intervals.latest reads the last one."""
+    rows.write.mode("append").parquet(path)
+
+
 def write_new(rows: DataFrame, path: str, key: str) -> None:
     """Append the rows whose key is not yet in the table at ``path``; what is there is never overwritten."""
     spark = rows.sparkSession

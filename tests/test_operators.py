@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.functions import grading, text, timecode
-from spanloom.operators import compose, intervals, sessions, signals
+from spanloom.operators import checks, compose, intervals, sessions, signals
 from spanloom.sources import readers, writers
 from spanloom.streaming.sessions import gap_sessions, speaker_sessions
 
@@ -194,3 +194,33 @@ def test_long_source_snaps_in_linear_time(spark):
     marks = spark.range(n).select(F.lit(1).alias("source"), (F.col("id") * 10).alias("at"))
     wrong = intervals.snap(edges, marks).where(F.col("snapped") != F.when(F.col("at") % 10 <= 5, F.floor(F.col("at") / 10) * 10).otherwise(F.ceil(F.col("at") / 10) * 10))
     assert wrong.where(f"at <= {10 * (n - 1)}").count() == 0
+
+
+def test_unlisted_source_stops_a_strict_read(spark, tmp_path):
+    (tmp_path / "cut.json").write_text(json.dumps({"sources": {"B": "b.mp4", "A": "../a.mp4"}, "ranges": [{"source": "A", "start": 0, "end": 1}, {"source": "C", "start": 0, "end": 1}]}))
+    edls = readers.read_edls(spark, str(tmp_path))
+    assert [r.path for r in readers.edl_ranges(edls, "/takes/one").orderBy("ord").collect()] == ["/takes/a.mp4", None]
+    with pytest.raises(Exception, match="unknown source C, known: A, B"):
+        readers.edl_ranges(edls, strict=True).collect()
+
+
+def test_range_errors_of_odd_rows(spark):
+    ranges = spark.createDataFrame([("e", 0, "A", 0.0, 1.0), ("e", 1, None, 0.0, None), ("e", 2, "Z", 2.0, 1.0), ("none", 0, "A", 0.0, 1.0)], "edl_id string, ord int, source string, start double, stop double")
+    sources = spark.createDataFrame([("e", "B"), ("e", "A")], "edl_id string, source string")
+    got = sorted(tuple(r) for r in checks.range_errors(ranges, sources).collect())
+    assert got == [("e", 1, "source is missing"), ("e", 1, "stop is missing"), ("e", 2, "stop must be after start"), ("e", 2, "unknown source Z, known: A, B"), ("none", 0, "unknown source A, known: ")]
+    assert checks.range_errors(ranges.limit(0), sources).count() == 0
+
+
+def test_statistics_lines(spark):
+    text = ["frame:0", "lavfi.signalstats.YBITDEPTH=8", "lavfi.signalstats.YAVG=100", "lavfi.signalstats.YBITDEPTH=10", "lavfi.signalstats.YAVG=x", "lavfi.signalstats.YAVG=200"]
+    lines = spark.createDataFrame([("a", i, x) for i, x in enumerate(text)] + [("dark", 0, "lavfi.signalstats.YMAX=9")], "clip string, pos int, line string")
+    got = {r.clip: (round(r.y_mean, 6), r.y_range, r.sat_mean) for r in signals.line_statistics(readers.frame_values(lines), "clip").collect()}
+    assert got == {"a": (round(150 / 1023, 6), 0.7, 0.25), "dark": (0.5, 0.72, 0.25)}
+
+
+def test_memory_keeps_the_last_session(spark, tmp_path):
+    path = str(tmp_path / "memory")
+    for n, note in ((1, "first"), (2, "second")):
+        writers.append_entry(spark.createDataFrame([("p", n, note)], "project string, session int, note string"), path)
+    assert [tuple(r) for r in intervals.latest(spark.read.parquet(path), "project", "session", "note").collect()] == [("p", 2, "second")]
