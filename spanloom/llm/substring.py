@@ -104,10 +104,10 @@ class _Chunk:
         return np.flatnonzero((np.cumsum(step[:-1]) > 0) & (np.arange(n) + a.window <= self.end))
 
 
-def _split(parts: np.ndarray, n: int) -> list[tuple[int, int, int]]:
-    """(part, start, stop) of each non-empty part of a sorted array of parts."""
-    edges = np.searchsorted(parts, np.arange(n + 1))
-    return [(p, edges[p], edges[p + 1]) for p in range(n) if edges[p] < edges[p + 1]]
+def _split(parts: np.ndarray) -> list[tuple[int, int, int]]:
+    """(part, start, stop) of each run of a sorted array of parts."""
+    starts = np.flatnonzero(np.diff(parts, prepend=-1))
+    return list(zip(parts[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(parts)], strict=True)) if len(parts) else []
 
 
 def _unique_anchors(chunk: _Chunk, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -124,7 +124,7 @@ def _unique_windows(chunk: _Chunk, bits: dict, parts: int):
     """Candidate windows; the place of each among the distinct ones; these, by part, and the first of each."""
     at, place, distinct, count = _unique_anchors(chunk, parts)
     again = count > 1
-    for part, a, b in _split((distinct % U(parts)).astype(np.int64), parts):
+    for part, a, b in _split((distinct % U(parts)).astype(np.int64)):
         if (0, part) in bits:
             again[a:b] |= np.unpackbits(np.frombuffer(bits[0, part], np.uint8), count=b - a).astype(bool)
     starts = chunk.candidates(at[again[place]])
@@ -168,7 +168,7 @@ def repeated_words(docs: DataFrame, window: int = 20, chunk_bytes: int | None =
     def send_anchors(table: pa.Table) -> pa.Table:
         _, _, distinct, _ = _unique_anchors(_Chunk(table, anchors), parts)
         raw = distinct.view(np.uint8).reshape(-1, 8)[:, :6]
-        return _rows(table["chunk"][0].as_py(), 0, [(p, raw[a:b].tobytes()) for p, a, b in _split((distinct % U(parts)).astype(np.int64), parts)], "sent")
+        return _rows(table["chunk"][0].as_py(), 0, [(p, raw[a:b].tobytes()) for p, a, b in _split((distinct % U(parts)).astype(np.int64))], "sent")
 
     def find_anchors(table: pa.Table) -> pa.Table:
         sent, chunk = table["sent"].to_pylist(), table["chunk"].to_pylist()
@@ -189,7 +189,7 @@ def repeated_words(docs: DataFrame, window: int = 20, chunk_bytes: int | None =
         starts, _, firsts, high, low, part = _unique_windows(chunk, _bits_of(answers), parts)
         ranks = chunk.rank[chunk.doc[starts[firsts]]] if len(firsts) else np.empty(0, np.int64)
         h, lo = high[firsts], low[firsts].astype(np.uint32)
-        got = [(p, h[a:b].tobytes() + lo[a:b].tobytes() + ranks[a:b].tobytes()) for p, a, b in _split(part[firsts], parts)]
+        got = [(p, h[a:b].tobytes() + lo[a:b].tobytes() + ranks[a:b].tobytes()) for p, a, b in _split(part[firsts])]
         return _rows(table["chunk"][0].as_py() if len(table) else 0, 1, got, "sent")
 
     def find_windows(table: pa.Table) -> pa.Table:
@@ -211,7 +211,7 @@ def repeated_words(docs: DataFrame, window: int = 20, chunk_bytes: int | None =
         chunk, bits = _Chunk(table, anchors), _bits_of(answers)
         starts, place, firsts, _, _, part = _unique_windows(chunk, bits, parts)
         earliest = np.zeros(len(firsts), bool)
-        for p, a, b in _split(part[firsts], parts):
+        for p, a, b in _split(part[firsts]):
             earliest[a:b] = np.unpackbits(np.frombuffer(bits[1, p], np.uint8), count=b - a).astype(bool)
         again = np.ones(len(starts), bool)
         again[firsts] = ~earliest
