@@ -40,11 +40,13 @@ def silences(ranges: DataFrame, tokens: DataFrame, least: float, width: float) -
     """
     inside = overlap_join(ranges, tokens, width).where("type is null or type <> 'spacing'")
     by = Window.partitionBy("edl_id", "ord").orderBy("pos")
-    reached = F.greatest("start", F.max("token_stop").over(by.rowsBetween(Window.unboundedPreceding, -1)))
-    begin = F.greatest("start", "token_start")
-    inner = inside.select("edl_id", "ord", reached.alias("gap_start"), begin.alias("gap_stop"))
-    tail = inside.groupBy("edl_id", "ord").agg(F.max(F.greatest("start", "token_stop")).alias("gap_start"), F.first("stop").alias("gap_stop"))
-    return inner.unionByName(tail).where(F.col("gap_stop") - F.col("gap_start") >= least)
+    gap = lambda low, high: F.struct(low.alias("gap_start"), high.alias("gap_stop"))
+    before = F.greatest("start", F.max("token_stop").over(by.rowsBetween(Window.unboundedPreceding, -1)))
+    upto = F.greatest("start", F.max("token_stop").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    tail = F.when(F.lead("pos").over(by).isNull(), gap(upto, F.col("stop")))
+    rows = inside.select("edl_id", "ord", gap(before, F.greatest("start", "token_start")).alias("inner"), tail.alias("tail"))
+    found = rows.select("edl_id", "ord", F.inline(F.array_compact(F.array("inner", "tail"))))
+    return found.where(F.col("gap_stop") - F.col("gap_start") >= least)
 
 
 def snap(edges: DataFrame, boundaries: DataFrame) -> DataFrame:

@@ -58,24 +58,34 @@ def totals(summary: DataFrame) -> DataFrame:
     return summary.agg(F.count("*").alias("n_sources"), F.coalesce(F.sum("n_phrases"), F.lit(0)).alias("n_phrases"), F.coalesce(F.sum("duration"), F.lit(0)).alias("duration"))
 
 
-def report_lines(summary: DataFrame, phrases_: DataFrame, gap_seconds: float, per_second: float = 1.0) -> DataFrame:
-    """source, line_no and line of the packed report; the head has a null source.
+# The report's head, and what stands for a source without phrases.
+HEAD = ("# Packed transcripts", "", "Phrase-level, grouped on silences ≥ {gap:.1f}s or speaker change.", "Use `[start-end]` ranges to address cuts in the EDL.", "")
+NO_SPEECH = "  _no speech detected_"
 
-    Sorted by source (nulls first) and line_no, the lines are the report.
+
+def report_lines(sources: DataFrame, phrases_: DataFrame, gap_seconds: float, per_second: float = 1.0) -> DataFrame:
+    """source, line_no and line of the packed report on ``sources`` (source); the head has a null source.
+
+    Sorted by source (nulls first) and line_no, the lines are the report.  The
+    phrases are read once: the figures of a source come from windows over them,
+    in the partitions that they already lie in.
     """
-    spark = summary.sparkSession
+    spark, whole = sources.sparkSession, Window.partitionBy("source")
+    span = F.max_by("stop", "phrase_no").over(whole) - F.min_by("start", "phrase_no").over(whole)
+    rows = sources.select("source").join(phrases_.withColumns({"n_phrases": F.count("*").over(whole), "duration": span}), "source", "left").fillna(0, ["duration", "n_phrases"])
+    heads = spark.createDataFrame([(i + 1, x.format(gap=gap_seconds)) for i, x in enumerate(HEAD)], "line_no int, line string")
     seconds = lambda c: F.col(c) / per_second
-    head = ["# Packed transcripts", "", f"Phrase-level, grouped on silences ≥ {gap_seconds:.1f}s or speaker change.", "Use `[start-end]` ranges to address cuts in the EDL.", ""]
-    heads = spark.createDataFrame([(i + 1, x) for i, x in enumerate(head)], "line_no int, line string")
-    title = F.concat(F.lit("## "), F.col("source").cast("string"), F.lit("  (duration: "), timecode.duration(seconds("duration")), F.lit(", "), F.col("n_phrases").cast("string"), F.lit(" phrases)"))
     entry = lambda number, text: F.struct(number.cast("int").alias("line_no"), text.alias("line"))
-    nothing = F.array(entry(F.lit(2), F.lit("  _no speech detected_")), entry(F.lit(3), F.lit("")))
-    last = F.when(F.col("n_phrases") == 0, nothing).otherwise(F.array(entry(F.col("n_phrases") + 2, F.lit(""))))
-    frame = summary.select("source", F.inline(F.concat(F.array(entry(F.lit(1), title)), last)))
+    title = F.concat(F.lit("## "), F.col("source").cast("string"), F.lit("  (duration: "), timecode.duration(seconds("duration")), F.lit(", "), F.col("n_phrases").cast("string"), F.lit(" phrases)"))
     said = F.concat(F.lit("  ["), timecode.clock(seconds("start")), F.lit("-"), timecode.clock(seconds("stop")), F.lit("]"), T.speaker_tag(F.col("speaker").cast("string")), F.lit(" "), F.col("text"))
-    body = phrases_.select("source", (F.col("phrase_no") + 1).alias("line_no"), said.alias("line"))
-    heads = heads.select(F.lit(None).cast(summary.schema["source"].dataType).alias("source"), "line_no", "line")
-    return heads.unionByName(frame).unionByName(body)
+    silent = F.col("phrase_no").isNull()
+    lines = [
+        F.when(silent | (F.col("phrase_no") == 1), entry(F.lit(1), title)),
+        F.when(silent, entry(F.lit(2), F.lit(NO_SPEECH))).otherwise(entry(F.col("phrase_no") + 1, said)),
+        F.when(silent, entry(F.lit(3), F.lit(""))).when(F.col("phrase_no") == F.col("n_phrases"), entry(F.col("n_phrases") + 2, F.lit(""))),
+    ]
+    body = rows.select("source", F.inline(F.array_compact(F.array(*lines))))
+    return heads.select(F.lit(None).cast(sources.schema["source"].dataType).alias("source"), "line_no", "line").unionByName(body)
 
 
 def handoffs(tokens: DataFrame, low: float, high: float) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions.grading import AUTO, PRESETS
 from ..operators.compose import CAPTION_STYLE, TONE_MAP
-from ..operators.sessions import FILLERS
+from ..operators.sessions import FILLERS, HEAD, NO_SPEECH
 
 #: Tokens of conversations.
 TOKENS = r"""
@@ -111,9 +111,9 @@ SQL: dict[str, str] = {
     "source_summary": _with(TOKENS, _phrases(500), SUMMARY) + f" SELECT *, {_DURATION} AS duration_text FROM summary",
     "pack_totals": _with(TOKENS, _phrases(500), SUMMARY) + " SELECT count(*) AS n_sources, CAST(sum(n_phrases) AS BIGINT) AS n_phrases, CAST(sum(duration) AS BIGINT) AS duration FROM summary",
     "pack_lines": _with(TOKENS, _phrases(500), SUMMARY)
-    + f""" SELECT CAST(NULL AS BIGINT) AS source, CAST(n AS INT) AS line_no, line FROM (VALUES (1, '# Packed transcripts'), (2, ''), (3, 'Phrase-level, grouped on silences ≥ 0.5s or speaker change.'), (4, 'Use `[start-end]` ranges to address cuts in the EDL.'), (5, '')) h(n, line)
+    + f""" SELECT CAST(NULL AS BIGINT) AS source, CAST(n AS INT) AS line_no, line FROM (VALUES {", ".join(f"({i + 1}, '{x.format(gap=0.5)}')" for i, x in enumerate(HEAD))}) h(n, line)
 UNION ALL SELECT source, 1, '## ' || source || '  (duration: ' || {_DURATION} || ', ' || n_phrases || ' phrases)' FROM summary
-UNION ALL SELECT source, 2, '  _no speech detected_' FROM summary WHERE n_phrases = 0
+UNION ALL SELECT source, 2, '{NO_SPEECH}' FROM summary WHERE n_phrases = 0
 UNION ALL SELECT source, CASE WHEN n_phrases = 0 THEN 3 ELSE CAST(n_phrases + 2 AS INT) END, '' FROM summary
 UNION ALL SELECT source, phrase_no + 1, '  [' || {_SECONDS.format("start")} || '-' || {_SECONDS.format("stop")} || '] S' || speaker || ' ' || text FROM phrases""",
     "silence_class": _with(TOKENS)

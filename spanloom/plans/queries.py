@@ -49,25 +49,27 @@ def explode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_tokens(spark, sf_dir)
 
 
-def _summary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    found = phrases(spark, sf_dir)
-    names = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("source")).distinct()
-    return sessions.source_summary(names, found), found
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("source")).distinct()
+
+
+def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.source_summary(_names(spark, sf_dir), phrases(spark, sf_dir))
 
 
 @query
 def source_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(spark, sf_dir)[0].withColumn("duration_text", timecode.duration(F.col("duration") / 1000))
+    return _summary(spark, sf_dir).withColumn("duration_text", timecode.duration(F.col("duration") / 1000))
 
 
 @query
 def pack_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.totals(_summary(spark, sf_dir)[0])
+    return sessions.totals(_summary(spark, sf_dir))
 
 
 @query
 def pack_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.report_lines(*_summary(spark, sf_dir), gap_seconds=0.5, per_second=1000)
+    return sessions.report_lines(_names(spark, sf_dir), phrases(spark, sf_dir), gap_seconds=0.5, per_second=1000)
 
 
 @query

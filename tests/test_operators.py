@@ -224,3 +224,18 @@ def test_memory_keeps_the_last_session(spark, tmp_path):
     for n, note in ((1, "first"), (2, "second")):
         writers.append_entry(spark.createDataFrame([("p", n, note)], "project string, session int, note string"), path)
     assert [tuple(r) for r in intervals.latest(spark.read.parquet(path), "project", "session", "note").collect()] == [("p", 2, "second")]
+
+
+def test_phrases_of_a_report_are_read_once(spark, sf_dir):
+    from spanloom.plans.queries import QUERIES
+
+    plan = lambda name: QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan("pack_lines").count("Scan parquet") == 2  # the names, and the tokens once
+    assert plan("silences").count("SortMergeJoin") + plan("silences").count("HashJoin") == 1
+
+
+def test_report_of_a_silent_source(spark):
+    tokens = spark.createDataFrame([("a", 0, "word", "hi", 0.0, 1.0, "speaker_0"), ("a", 1, "word", "there", 2.0, 3.5, "speaker_0")], TOKENS)
+    sources = spark.createDataFrame([("a",), ("b",)], "source string")
+    lines = sessions.report_lines(sources, sessions.phrases(tokens, 0.5), 0.5).orderBy("source", "line_no").collect()
+    assert [r.line for r in lines[5:]] == ["## a  (duration: 3.5s, 2 phrases)", "  [000.00-001.00] S0 hi", "  [002.00-003.50] S0 there", "", "## b  (duration: 0.0s, 0 phrases)", "  _no speech detected_", ""]
