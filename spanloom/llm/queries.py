@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, minhash, mixing, quality, rules, secrets, sharding, substring
+from . import ann, bpe, decontam, divergence, langid, minhash, mixing, negatives, quality, rules, secrets, sharding, substring
 from .sampling import remainder
 
 #: Rank file and pattern of the default vocabulary come from this package.
@@ -91,6 +91,22 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op12_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.benchmark_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), keep=("doc_id",))
+    listed = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), listed.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -102,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_ann": op9_ann,
     "op10_substring": op10_substring,
+    "op11_divergence": op11_divergence,
+    "op12_decontam": op12_decontam,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -114,4 +133,40 @@ gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
   sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_transform(list_filter(range(1, len(ws) + 1), lambda p: NOT list_contains(ps, p)), lambda p: ws[p]) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN gone USING (doc_id)""",
+    "op11_divergence": r"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+each AS (SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM each GROUP BY ALL HAVING count(DISTINCT d) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+langs AS (SELECT g.lang, coalesce(v, 0) AS v, coalesce(n, 0) AS n FROM (SELECT DISTINCT lang FROM groups) g LEFT JOIN (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang) k USING (lang)),
+tally AS (SELECT lang, source, term, count(*) AS n FROM each SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS n FROM groups g LEFT JOIN tally t USING (lang, source) GROUP BY ALL),
+cells AS (SELECT s.lang, s.source, k.term, coalesce(t.n, 0) AS c, 1 + CAST(1000000000::HUGEINT * (coalesce(t.n, 0) + 1) // (s.n + l.v) AS BIGINT) AS p,
+    1 + CAST(1000000000::HUGEINT * (k.n + 1) // (l.n + l.v) AS BIGINT) AS q
+  FROM sums s JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN tally t ON t.lang = s.lang AND t.source = s.source AND t.term = k.term),
+differ AS (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN differ d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM cells WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 200""",
+    "op12_decontam": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+sized AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM b WHERE len(ws) > 0),
+wins AS (SELECT DISTINCT item_id, n, array_to_string(ws[i : i + n - 1], ' ') AS g FROM (SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM sized)),
+spots AS (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM sized) WHERE len(ws) >= n),
+found AS (SELECT r, i, s.n, item_id FROM (SELECT r, i, n, array_to_string(ws[i : i + n - 1], ' ') AS g FROM spots) s JOIN wins w ON w.g = s.g AND w.n = s.n),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""",
+    "op13_negatives": """
+WITH fine AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id AS id, CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * r.v[i])) AS BIGINT) AS score
+  FROM fine a JOIN fine r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY rank <= 10""",
 }
