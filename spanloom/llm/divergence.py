@@ -102,13 +102,13 @@ def _group_vectors(config: DivergenceConfig):
 
     def run(table: pa.Table) -> pa.Table:
         lang, chunk, block = (table[c][0].as_py() for c in ("lang", "chunk", "block"))
-        heads = table.filter(pc.equal(table["kind"], 0))
-        terms = heads["terms"].combine_chunks().flatten()
-        terms = np.array(terms.cast(pa.binary()).to_pylist(), object)
-        whole = heads["totals"].combine_chunks().flatten().to_numpy()
+        heads = table.filter(pc.equal(table["kind"], 0)).select(["term", "n"])
+        terms = np.array(heads["term"].cast(pa.binary()).to_pylist(), object)
+        order = np.argsort(terms)
+        terms, whole = terms[order], heads["n"].to_numpy()[order]
         marks = table.filter(pc.equal(table["kind"], 1))
         sources, n_group = zip(*sorted(zip(marks["source"].to_pylist(), marks["n"].to_pylist(), strict=True), key=lambda x: x[0].encode()), strict=True)
-        n_terms, n_lang = (heads[c][0].as_py() for c in ("n_terms", "n_lang"))
+        n_terms, n_lang = (marks[c][0].as_py() for c in ("n_terms", "n_lang"))
         counted = table.filter(pc.equal(table["kind"], 2))
         row = _ids(np.array([s.encode() for s in sources], object), counted["source"])
         ids = _ids(terms, counted["term"])
@@ -170,18 +170,17 @@ def source_divergence(docs: DataFrame, config: DivergenceConfig = DivergenceConf
     used = counted.where("term is not null").join(dealt.select("lang", "term", "chunk"), ["lang", "term"])
     langs = groups.groupBy("lang").agg(F.ceil(F.count("*") / config.block).cast("int").alias("blocks")).join(kept.groupBy("lang").agg(F.count("*").alias("n_terms"), F.sum("n").alias("n_lang")), "lang", "left").fillna(0, ["n_terms", "n_lang"])
     block = F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int").alias("block")
-    heads = dealt.groupBy("lang", "chunk").agg(F.sort_array(F.collect_list(F.struct("term", "n"))).alias("list"))
     # a language without kept terms has one chunk, which is empty
-    heads = langs.join(heads, "lang", "left").select("lang", F.coalesce("chunk", F.lit(-1).cast("long")).alias("chunk"), "blocks", "n_terms", "n_lang", F.coalesce("list", F.array().cast("array<struct<term:string,n:bigint>>")).alias("list"))
+    chunked = langs.join(dealt.select("lang", "chunk").distinct(), "lang", "left").select("lang", F.coalesce("chunk", F.lit(-1).cast("long")).alias("chunk"), "n_terms", "n_lang")
     sums = used.groupBy("lang", "source").agg(F.sum("n").alias("n"))
     placed = groups.join(langs.select("lang", "blocks"), "lang").join(sums, ["lang", "source"], "left").select("lang", "source", block, F.coalesce("n", F.lit(0)).alias("n"))
 
     lack = lambda name, kind: F.lit(None).cast(kind).alias(name)
     filled = placed.select("lang", "block").distinct()  # a hash may leave a block empty
-    head_rows = heads.join(filled, "lang").select("lang", "chunk", "block", F.lit(0).alias("kind"), lack("source", "string"), lack("term", "string"), lack("n", "long"), F.col("list.term").alias("terms"), F.col("list.n").alias("totals"), "n_terms", "n_lang")
-    short = [lack("terms", "array<string>"), lack("totals", "array<bigint>"), lack("n_terms", "long"), lack("n_lang", "long")]
-    mark_rows = placed.join(heads.select("lang", "chunk"), "lang").select("lang", "chunk", "block", F.lit(1).alias("kind"), "source", lack("term", "string"), "n", *short)
-    count_rows = used.join(langs.select("lang", "blocks"), "lang").select("lang", "chunk", block, F.lit(2).alias("kind"), "source", "term", "n", *short)
+    # kinds of rows: a kept term and its count in the language, a source and its count, a term's count in a source
+    head_rows = dealt.join(filled, "lang").select("lang", "chunk", "block", F.lit(0).alias("kind"), lack("source", "string"), "term", "n", lack("n_terms", "long"), lack("n_lang", "long"))
+    mark_rows = placed.join(chunked, "lang").select("lang", "chunk", "block", F.lit(1).alias("kind"), "source", lack("term", "string"), "n", "n_terms", "n_lang")
+    count_rows = used.join(langs.select("lang", "blocks"), "lang").select("lang", "chunk", block, F.lit(2).alias("kind"), "source", "term", "n", lack("n_terms", "long"), lack("n_lang", "long"))
     vectors = stored(head_rows.unionByName(mark_rows).unionByName(count_rows).groupBy("lang", "chunk", "block").applyInArrow(_group_vectors(config), VECTORS), "term-vectors")
 
     panels = vectors.where("sources is not null").join(filled.select("lang", F.col("block").alias("with")), "lang")
