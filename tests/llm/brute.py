@@ -231,3 +231,66 @@ def rule_verdicts(rows, trusted, config):
         score = float(ratio[found[d]].mean()) if len(found[d]) else None
         out[d] = (score, not base_rules(text)["base_failed"] and (not target.sum() or (score is not None and score >= config.threshold)))
     return out
+
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def divergence(rows, least=3, ranks=200):
+    """(lang, source, part, item, value, rank) of rows (text, lang, source)."""
+    term = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    tally, held = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in rows:
+        got = term.findall((text or "").translate(LOWER))
+        tally[lang or "", source or ""].update(got)
+        held[lang or ""].update(set(got))
+    out = []
+    for lang in held.keys() | {lang for lang, _ in tally}:
+        kept = sorted((t for t, n in held[lang].items() if n >= least), key=str.encode)
+        own = {s: [c[t] for t in kept] for (g, s), c in tally.items() if g == lang}
+        share = lambda counts: [1 + 10**9 * (c + 1) // (sum(counts) + len(kept)) for c in counts]
+        p = {s: share(c) for s, c in own.items()}
+        q = share([sum(c) for c in zip(*own.values(), strict=True)])
+        f = lambda a, b: (a - b) * (a - b) // b
+        for s in own:
+            pairs = sorted(((-sum(map(f, p[s], p[o])), o) for o in own if o != s), key=lambda x: (x[0], x[1].encode()))
+            terms = sorted(((-f(a, b), t) for t, n, a, b in zip(kept, own[s], p[s], q, strict=True) if n and a > b), key=lambda x: (x[0], x[1].encode()))
+            out += [(lang, s, "pair", o, -v, k + 1) for k, (v, o) in enumerate(pairs)]
+            out += [(lang, s, "term", t, -v, k + 1) for k, (v, t) in enumerate(terms[:ranks])]
+    return out
+
+
+def leaks(docs, items, window=10):
+    """For each text: its number of words, the word numbers hit, and the sorted ids of the items found."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = defaultdict(set)
+    for item, text in items:
+        got = word.findall((text or "").translate(LOWER))
+        n = min(window, len(got))
+        for i in range(len(got) - n + 1 if n else 0):
+            windows[tuple(got[i : i + n])].add(item)
+    sizes = {len(w) for w in windows}
+    out = []
+    for text in docs:
+        got, hit, found = word.findall((text or "").translate(LOWER)), set(), set()
+        for n in sizes:
+            for i in range(len(got) - n + 1):
+                holders = windows.get(tuple(got[i : i + n]))
+                if holders:
+                    hit |= set(range(i, i + n))
+                    found |= holders
+        out.append((len(got), hit, sorted(str(x) for x in found if x is not None)))
+    return out
+
+
+def hard_negatives(rows, is_anchor, positives=5, negatives=10, low=30, high=90):
+    """(anchor, positive, rank, negative, scores) of rows (id, label, whole numbers)."""
+    out = []
+    for anchor, label, vector in rows:
+        if not is_anchor(anchor):
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(vector, v)), i, g) for i, g, v in rows if i != anchor)
+        for p, i, _ in [x for x in scored if x[2] == label][:positives]:
+            inside = [(-s, j) for s, j, g in scored if g != label and low * -p <= 100 * -s <= high * -p]
+            out += [(anchor, i, k + 1, j, -p, s) for k, (s, j) in enumerate(inside[:negatives])]
+    return out
