@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -24,6 +24,28 @@ def rms_envelope(signals: DataFrame, key: str, values: str, samples: int) -> Dat
     return rows.select(key, F.posexplode("levels").alias("i", "level"), "top").select(key, "i", F.when(F.col("top") > 0, F.col("level") / F.col("top")).otherwise(F.col("level")).alias("value"))
 
 
+def block_envelope(blocks: DataFrame, samples: int, full_scale: float = 32768.0) -> DataFrame:
+    """source, i and value: the envelope of :func:`rms_envelope` from blocks of whole samples (source, total, first, samples).
+
+    ``first`` is the number of a block's first sample and ``total`` how many its
+    source has.  Each sample falls in the window of its number, and the squares
+    of a window are added up before and after one shuffle, so a recording of any
+    length is many tasks and no row holds it.  A source without samples is 0
+    throughout.
+    """
+    window = F.greatest(F.lit(1), F.floor(F.col("total") / samples))
+    each = blocks.select("source", "first", window.alias("window"), F.posexplode("samples").alias("at", "x"))
+    square = F.col("x").cast("long") * F.col("x").cast("long")
+    sums = each.groupBy("source", "window", F.floor((F.col("first") + F.col("at")) / F.col("window")).alias("i")).agg(F.sum(square).alias("squares"))
+    levels = sums.where(F.col("i") < samples).groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("i", F.sqrt(F.col("squares") / F.col("window")).alias("level")))).alias("levels"))
+    # of a source's blocks one stands for all; only whole windows count
+    rows = blocks.groupBy("source").agg(F.max("total").alias("total")).join(levels, "source", "left").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+    level = F.when((F.col("i") + 1) * window <= F.col("total"), F.try_element_at("levels", F.col("i").cast("long")))
+    rows = rows.select("source", "i", F.coalesce(level / full_scale, F.lit(0.0)).alias("level"))
+    top = F.max("level").over(Window.partitionBy("source"))
+    return rows.withColumn("top", top).select("source", "i", F.when(F.col("top") > 0, F.col("level") / F.col("top")).otherwise(F.col("level")).alias("value"))
+
+
 def frame_statistics(frames: DataFrame, clip: str) -> DataFrame:
     """y_mean, y_range and sat_mean of each clip from its frames (clip, frame_no, yavg, ymin, ymax, satavg, ybitdepth).
 

@@ -89,6 +89,27 @@ cues AS (
   SELECT edl_id, ord, chunk, CAST(row_number() OVER (PARTITION BY edl_id ORDER BY out_start, ord, chunk) AS INT) AS cue_no, out_start,
     CASE WHEN out_end <= out_start THEN out_start + 400 ELSE out_end END AS out_stop, text FROM numbered)"""
 
+#: False starts: from left to right the longest run of words that is said again at once.
+SLIPS = r"""
+bare AS (SELECT source, pos, text, lower(rtrim(text, '.,!?;:')) AS w FROM tokens WHERE rtrim(text, '.,!?;:') <> ''),
+ahead AS (SELECT source, pos, row_number() OVER o AS k, list(w) OVER f AS ws, list(text) OVER f AS said FROM bare
+  WINDOW o AS (PARTITION BY source ORDER BY pos), f AS (PARTITION BY source ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)),
+longest AS (SELECT *, CAST(list_max(list_filter([1, 2, 3, 4], lambda n: len(ws) >= 2 * n AND ws[1:n] = ws[n + 1 : 2 * n])) AS INT) AS n FROM ahead),
+walk AS (
+  SELECT source, k, n FROM longest WHERE k = 1
+  UNION ALL
+  SELECT l.source, l.k, l.n FROM walk w JOIN longest l ON l.source = w.source AND l.k = w.k + coalesce(w.n, 1)),
+slips AS (SELECT l.* FROM walk JOIN longest l USING (source, k) WHERE l.n IS NOT NULL)"""
+
+#: The user's turns, 2 s longer on both sides (a), and overlays of a minute (b), in one sweep.
+SWEPT = """
+ends AS (
+  SELECT source, start - 2000 AS start, 1 AS ca, 0 AS cb FROM turns WHERE speaker = 'user' UNION ALL SELECT source, stop + 2000, -1, 0 FROM turns WHERE speaker = 'user'
+  UNION ALL SELECT edl_id, start, 0, 1 FROM overlays UNION ALL SELECT edl_id, start + 60000, 0, -1 FROM overlays),
+pieces AS (
+  SELECT source, start, lead(start) OVER w AS stop, sum(ca) OVER w AS a, sum(cb) OVER w AS b FROM (SELECT source, start, sum(ca) AS ca, sum(cb) AS cb FROM ends GROUP BY ALL)
+  WINDOW w AS (PARTITION BY source ORDER BY start))"""
+
 _SECONDS = "printf('%06.2f', {0} / 1000.0)"
 _DURATION = "CASE WHEN duration < 60000 THEN printf('%.1fs', duration / 1000.0) ELSE printf('%dm %04.1fs', duration // 60000, duration / 1000.0 - (duration // 60000) * 60) END"
 
@@ -223,4 +244,20 @@ SELECT p_partkey, round(grey + (v[1] - grey) * CAST(0.88 AS DOUBLE), 6) AS red,
     "latest_entry": "SELECT user_id, event_id, epoch_us(ts) AS at, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
     "default_paths": """SELECT doc_id, '/takes/' || doc_id % 10 || '/' || doc_id || '.v1.mp4' AS path, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN '/takes/' || doc_id % 10 || '/edit/transcripts/' || doc_id || '.v1.json' END AS transcript FROM documents""",
     "resolved_paths": "SELECT p_partkey, ['/abs/a.mp4', '/edit/one/a.mp4', '/edit/one/b/a.mp4', '/edit/a.mp4', '/edit/c/a.mp4'][p_partkey % 5 + 1] AS path FROM part",
+    "false_starts": _with(TOKENS, SLIPS) + " SELECT source, pos, n AS length, array_to_string(said[1:n], ' ') AS said FROM slips",
+    "slip_counts": _with(TOKENS, SLIPS)
+    + f""", again AS (SELECT source, count(*) AS n_false_starts, CAST(sum(n) AS BIGINT) AS n_said_again FROM slips GROUP BY source)
+SELECT source, count(*) AS n_words, count(*) FILTER (w IN ({", ".join(f"'{w}'" for w in FILLERS)})) AS n_fillers, coalesce(any_value(n_false_starts), 0) AS n_false_starts, coalesce(any_value(n_said_again), 0) AS n_said_again
+FROM bare LEFT JOIN again USING (source) GROUP BY source""",
+    "interval_sets": _with(TOKENS, TURNS, SWEPT)
+    + """, held AS (SELECT source, kind, start, stop FROM (SELECT source, start, stop, unnest([CASE WHEN a > 0 OR b > 0 THEN 'union' END, CASE WHEN a > 0 AND b > 0 THEN 'intersection' END, CASE WHEN a > 0 AND b = 0 THEN 'difference' END, CASE WHEN (a > 0) <> (b > 0) THEN 'exclusion' END]) AS kind FROM pieces) WHERE kind IS NOT NULL),
+opened AS (SELECT *, CASE WHEN lag(stop) OVER (PARTITION BY source, kind ORDER BY start) = start THEN 0 ELSE 1 END AS fresh FROM held),
+grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY source, kind ORDER BY start) AS g FROM opened)
+SELECT source, kind, min(start) AS start, max(stop) AS stop FROM grouped GROUP BY source, kind, g""",
+    "peak_depth": _with(TOKENS, TURNS, SWEPT) + """, depth AS (SELECT source, start, sum(c) OVER (PARTITION BY source ORDER BY start) AS d FROM (SELECT source, start, sum(cb) AS c FROM ends WHERE cb <> 0 GROUP BY ALL))
+SELECT source, CAST(max(d) AS BIGINT) AS peak, arg_min(start, (-d, start)) AS at, max(d) <= 6 AS fits FROM depth GROUP BY source""",
+    "block_envelope": """WITH levels AS (SELECT vec_id, unnest(range(10)) AS i, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE) * 1000)) AS v FROM embeddings),
+l AS (SELECT vec_id AS source, CAST(i AS INT) AS i, sqrt(list_sum(list_transform(v[i * 6 + 1 : i * 6 + 6], lambda x: x * x)) / 6) AS level FROM levels),
+t AS (SELECT *, max(level) OVER (PARTITION BY source) AS top FROM l)
+SELECT source, i, round(CASE WHEN top > 0 THEN level / top ELSE level END, 6) AS value FROM t""",
 }

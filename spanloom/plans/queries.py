@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grading, text, timecode
-from ..operators import checks, compose, cues, intervals, sessions, signals
+from ..operators import checks, compose, cues, intervals, sessions, signals, slips, spans
 from ..sources import readers
 from ..sources.tables import BUCKET, conversation_overlays, conversation_ranges, conversation_tokens, event_tokens, order_clips, table, turns
 from ..streaming.sessions import gap_sessions
@@ -392,3 +392,43 @@ def default_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resolved_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = F.element_at(F.array(*[F.lit(x) for x in ("/abs/a.mp4", "a.mp4", "./b/a.mp4", "../a.mp4", "b/../../c//a.mp4")]), (F.col("p_partkey") % 5 + 1).cast("int"))
     return table(spark, sf_dir, "part").select("p_partkey", text.resolve_path(given, F.lit("/edit/one")).alias("path"))
+
+
+@query
+def false_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slips.false_starts(conversation_tokens(spark, sf_dir), width=BUCKET)
+
+
+@query
+def slip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = conversation_tokens(spark, sf_dir)
+    return slips.slip_counts(tokens, slips.false_starts(tokens, width=BUCKET), sessions.FILLERS)
+
+
+def _stretches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The user's turns, 2 s longer on both sides, and overlays made a minute long."""
+    tokens = conversation_tokens(spark, sf_dir)
+    said = turns(tokens).where("speaker = 'user'").select("source", (F.col("start") - 2000).alias("start"), (F.col("stop") + 2000).alias("stop"))
+    shown = conversation_overlays(tokens).select(F.col("edl_id").alias("source"), "start", (F.col("start") + 60_000).alias("stop"))
+    return said, shown
+
+
+@query
+def interval_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.interval_sets(*_stretches(spark, sf_dir), "source", WIDTH_MS)
+
+
+@query
+def peak_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most overlays at once, six of which may be seen together."""
+    return spans.peak_depth(_stretches(spark, sf_dir)[1], "source", WIDTH_MS, 6)
+
+
+@query
+def block_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as whole samples in blocks of 16."""
+    whole = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("smallint"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("source"), F.size("embedding").cast("long").alias("total"), whole.alias("all"))
+    cut = rows.select("source", "total", "all", F.explode(F.sequence(F.lit(0), F.col("total") - 1, F.lit(16))).alias("first"))
+    found = signals.block_envelope(cut.select("source", "total", "first", F.slice("all", (F.col("first") + 1).cast("int"), 16).alias("samples")), 10, 1000.0)
+    return found.withColumn("value", F.round("value", 6))
