@@ -9,13 +9,15 @@ from ..functions import text as T
 from ..functions.timecode import fixed
 
 # The style of captions, the tone mapping of wide-range sources, the loudness aims,
-# the encoder settings and the length that stands for an unknown one.
+# the encoder settings, the length that stands for an unknown one, the long side of a picture, and the fades of sound.
 CAPTION_STYLE = "FontName=Helvetica,FontSize=18,Bold=1,PrimaryColour=&H00FFFFFF,OutlineColour=&H00000000,BackColour=&H00000000,BorderStyle=1,Outline=2,Shadow=0,Alignment=2,MarginV=90"
 TONE_MAP = "zscale=t=linear:npl=100,format=gbrpf32le,zscale=p=bt709,tonemap=tonemap=hable:desat=0,zscale=t=bt709:m=bt709:r=tv,format=yuv420p"
 WIDE_TRANSFERS = ("smpte2084", "arib-std-b67")
 LOUDNESS = {"I": -14.0, "TP": -1.0, "LRA": 11.0}
 DRAFT, PREVIEW, FINAL = ("ultrafast", "28"), ("medium", "22"), ("fast", "20")
 DEFAULT_SECONDS = 10.0
+LONG_SIDE, DRAFT_SIDE = "1920", "1280"
+FADES, FADE_SECONDS = "afade=t=in:st=0:d=0.03,afade=t=out:st={}:d=0.03", 0.03
 
 
 def dealt_overlays(overlays: DataFrame, width: float) -> DataFrame:
@@ -88,7 +90,7 @@ def concat_manifest(ranges: DataFrame, folder: str) -> DataFrame:
 
 
 def scale_step(portrait: Column, draft: bool) -> Column:
-    long_side = "1280" if draft else "1920"
+    long_side = DRAFT_SIDE if draft else LONG_SIDE
     return F.when(portrait, f"scale=-2:{long_side}").otherwise(f"scale={long_side}:-2")
 
 
@@ -99,7 +101,8 @@ def codec_settings(draft: bool, preview: bool) -> tuple[str, str]:
 
 def fades(seconds: Column) -> Column:
     """Sound fades of 30 ms at both ends."""
-    return F.concat(F.lit("afade=t=in:st=0:d=0.03,afade=t=out:st="), fixed(F.greatest(F.lit(0.0), seconds - 0.03), 3), F.lit(":d=0.03"))
+    before, after = FADES.split("{}")
+    return F.concat(F.lit(before), fixed(F.greatest(F.lit(0.0), seconds - FADE_SECONDS), 3), F.lit(after))
 
 
 def media_info(probes: DataFrame) -> DataFrame:
@@ -117,16 +120,19 @@ def render_plan(ranges: DataFrame, media: DataFrame, grade: Column, per_second:
     """One row for each range: names, times, video and sound filters, encoder settings.
 
     ``media``: source, path, transfer and portrait (a null is neither wide nor
-    portrait); a range whose source is not listed has a null path.
+    portrait); a range whose source is not listed has a null path.  ``note`` is
+    the range's beat, else its note, else empty, where ``ranges`` has such columns.
     """
     preset, rate = codec_settings(draft, preview)
     known = ranges.join(media, "source", "left")
     length = (F.col("stop") - F.col("start")) / per_second
     tone = F.when(F.col("transfer").isin(*WIDE_TRANSFERS), F.lit(TONE_MAP))
     video = F.concat_ws(",", tone, scale_step(F.coalesce("portrait", F.lit(False)), draft), F.nullif(grade, F.lit("")))
+    note = T.first_filled(*[F.col(c) for c in ("beat", "note") if c in ranges.columns])
     return known.select(
         "edl_id",
         "ord",
+        note.alias("note"),
         "path",
         segment_name(F.col("ord"), F.col("source")).alias("segment"),
         fixed(F.col("start") / per_second, 3).alias("seek"),
@@ -146,6 +152,12 @@ def loudness_step(measured: Column) -> Column:
 
 
 def payoff_sync(overlays: DataFrame, payoffs: DataFrame, reveal: float, hold: float) -> DataFrame:
-    """Overlays moved so that the reveal ends on the payoff word (edl_id, z, at, said), and how long they must last."""
+    """Overlays moved so that the reveal ends on the payoff word (edl_id, z, at, said), and whether they last long enough.
+
+    ``least``: the narration and the hold after it; ``held``: how long the last
+    frame is to be held beyond what the overlay lasts now, 0 if it is ``enough``.
+    """
     both = overlays.join(payoffs, ["edl_id", "z"])
-    return both.select("edl_id", "z", F.greatest(F.lit(0), F.col("at") - reveal).alias("start"), (F.col("said") + hold).alias("least"))
+    least = F.col("said") + hold
+    held = F.greatest(F.lit(0), least - F.col("duration"))
+    return both.select("edl_id", "z", F.greatest(F.lit(0), F.col("at") - reveal).alias("start"), least.alias("least"), held.alias("held"), (held == 0).alias("enough"))

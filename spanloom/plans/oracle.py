@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.grading import AUTO, PRESETS
-from ..operators.compose import CAPTION_STYLE, TONE_MAP
+from ..operators.compose import CAPTION_STYLE, LOUDNESS, TONE_MAP
 from ..operators.sessions import FILLERS, HEAD, NO_SPEECH
 
 #: Tokens of conversations.
@@ -110,6 +110,40 @@ pieces AS (
   SELECT source, start, lead(start) OVER w AS stop, sum(ca) OVER w AS a, sum(cb) OVER w AS b FROM (SELECT source, start, sum(ca) AS ca, sum(cb) AS cb FROM ends GROUP BY ALL)
   WINDOW w AS (PARTITION BY source ORDER BY start))"""
 
+_AIMS = ":".join(f"{k}={v:g}" for k, v in LOUDNESS.items())
+
+
+def _passes() -> list[str]:
+    """Three passes of repair over ranges1 and shown1, to ranges4 and shown4, with the faults of each."""
+    parts = [
+        "lengths AS (SELECT source, max(stop) AS length FROM tokens GROUP BY source)",
+        "ranges1 AS (SELECT edl_id, ord, source, start - CASE WHEN ord % 5 = 0 THEN 20000 ELSE 0 END AS start, stop + CASE WHEN ord % 5 = 4 THEN 90000 ELSE 0 END AS stop FROM ranges)",
+        "shown1 AS (SELECT edl_id, z, start, 9000 AS duration FROM overlays)",
+    ]
+    words = "ASOF LEFT JOIN tokens t ON t.source = e.source AND e.at > t.start"
+    for k in (1, 2, 3, 4):
+        parts += [
+            f"free{k} AS (SELECT *, max(start + duration) OVER (PARTITION BY edl_id ORDER BY start, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS free FROM shown{k})",
+            f"edges{k} AS (SELECT edl_id, ord, source, start AS at FROM ranges{k} UNION ALL SELECT edl_id, ord, source, stop FROM ranges{k})",
+            f"totals{k} AS (SELECT edl_id, sum(greatest(stop - start, 0)) AS total FROM ranges{k} GROUP BY edl_id)",
+            f"""faults{k} AS (
+  SELECT edl_id, 'range' AS part, ord AS no, 'outside' AS kind, greatest(-start, 0) + greatest(stop - length, 0) AS amount FROM ranges{k} JOIN lengths USING (source) WHERE start < 0 OR stop > length
+  UNION ALL SELECT edl_id, 'range', ord, 'empty', 1 FROM ranges{k} WHERE stop <= start
+  UNION ALL SELECT e.edl_id, 'range', ord, 'inside_word', count(*) FROM edges{k} e {words} WHERE t.stop > e.at GROUP BY e.edl_id, ord
+  UNION ALL SELECT edl_id, 'overlay', z, 'covered', free - start FROM free{k} WHERE free > start
+  UNION ALL SELECT edl_id, 'overlay', z, 'late', start + duration - coalesce(total, 0) FROM shown{k} LEFT JOIN totals{k} USING (edl_id) WHERE start + duration > coalesce(total, 0))""",
+        ]
+        if k < 4:
+            near = lambda end: f"CASE WHEN {end}.low IS NULL THEN {end}.at WHEN {end}.at - {end}.low <= {end}.high - {end}.at THEN {end}.low ELSE {end}.high END"
+            held = lambda c: f"(SELECT e.*, CASE WHEN t.stop > e.at THEN t.start END AS low, CASE WHEN t.stop > e.at THEN t.stop END AS high FROM (SELECT edl_id, ord, source, {c} AS at FROM clamped{k}) e {words})"
+            parts += [
+                f"clamped{k} AS (SELECT edl_id, ord, source, greatest(least(start, length), 0) AS start, greatest(least(stop, length), 0) AS stop FROM ranges{k} JOIN lengths USING (source))",
+                f"ranges{k + 1} AS (SELECT a.edl_id, a.ord, a.source, {near('a')} AS start, {near('b')} AS stop FROM {held('start')} a JOIN {held('stop')} b USING (edl_id, ord))",
+                f"shown{k + 1} AS (SELECT edl_id, z, greatest(start, coalesce(free, start)) AS start, duration FROM free{k})",
+            ]
+    return parts
+
+
 _SECONDS = "printf('%06.2f', {0} / 1000.0)"
 _DURATION = "CASE WHEN duration < 60000 THEN printf('%.1fs', duration / 1000.0) ELSE printf('%dm %04.1fs', duration // 60000, duration / 1000.0 - (duration // 60000) * 60) END"
 
@@ -200,10 +234,10 @@ g AS (SELECT edl_id, count(*) AS n, string_agg('[' || k || ':v]setpts=PTS-STARTP
 SELECT c.edl_id, coalesce(shifts || ';' || lays || ';[v' || n || ']', '[0:v]') || 'subtitles=''/edit/master\\''s.srt'':force_style=''{CAPTION_STYLE}''[outv]' AS graph FROM (SELECT DISTINCT conv_id AS edl_id FROM conversations) c LEFT JOIN g ON g.edl_id = c.edl_id""",
     "concat_manifest": _with(TOKENS, TURNS) + " SELECT edl_id, string_agg(printf('file ''/edit/clips_graded/seg_%02d_%d.mp4''', ord, source) || chr(10), '' ORDER BY ord) AS text FROM ranges GROUP BY edl_id",
     "render_plan": _with(TOKENS, TURNS)
-    + f""" SELECT edl_id, ord, CASE WHEN source % 11 <> 0 THEN '/media/' || source || '.mp4' END AS path, printf('seg_%02d_%d.mp4', ord, source) AS segment, printf('%.3f', start / 1000.0) AS seek, printf('%.3f', (stop - start) / 1000.0) AS length,
+    + f""" SELECT edl_id, ord, CASE WHEN ord % 3 = 0 THEN 'hook' WHEN ord % 2 = 0 THEN 'turn ' || ord ELSE '' END AS note, CASE WHEN source % 11 <> 0 THEN '/media/' || source || '.mp4' END AS path, printf('seg_%02d_%d.mp4', ord, source) AS segment, printf('%.3f', start / 1000.0) AS seek, printf('%.3f', (stop - start) / 1000.0) AS length,
   CASE WHEN source % 11 <> 0 AND source % 3 = 0 THEN '{TONE_MAP},' ELSE '' END || CASE WHEN source % 11 <> 0 AND source % 2 = 0 THEN 'scale=-2:1920' ELSE 'scale=1920:-2' END || ',{PRESETS["subtle"]}' AS video,
   'afade=t=in:st=0:d=0.03,afade=t=out:st=' || printf('%.3f', greatest(0.0, CAST((stop - start) / 1000.0 AS DOUBLE) - CAST(0.03 AS DOUBLE))) || ':d=0.03' AS sound, 'fast' AS preset, '20' AS rate FROM ranges""",
-    "payoff_sync": _with(TOKENS, TURNS) + " SELECT source AS edl_id, turn AS z, greatest(0, max(start) - 800) AS start, max(stop) - min(start) + 1000 AS least FROM tokens WHERE speaker = 'user' GROUP BY source, turn",
+    "payoff_sync": _with(TOKENS, TURNS) + " SELECT source AS edl_id, turn AS z, greatest(0, max(start) - 800) AS start, max(stop) - min(start) + 1000 AS least, greatest(0, max(stop) - min(start) + 1000 - 1500) AS held, max(stop) - min(start) + 1000 <= 1500 AS enough FROM tokens WHERE speaker = 'user' GROUP BY source, turn",
     "best_take": "SELECT beat, event_id, value FROM (SELECT event_type || '/' || strftime(ts, '%Y-%m-%d') AS beat, event_id, value FROM events) QUALIFY row_number() OVER (PARTITION BY beat ORDER BY value DESC, event_id) = 1",
     "easing": "SELECT p_partkey, round(1 - pow(1 - p_size / 50, 3.0), 6) AS ease_out, round(CASE WHEN p_size / 50 < 0.5 THEN 4 * pow(p_size / 50, 3.0) ELSE 1 - pow(-2 * (p_size / 50) + 2, 3.0) / 2 END, 6) AS ease_in_out FROM part",
     "cdl_transform": "SELECT p_partkey, round(pow(greatest(p_size / 50 * CAST(1.1 AS DOUBLE) - CAST(0.03 AS DOUBLE), 0.0), CAST(0.9 AS DOUBLE)), 6) AS value FROM part",
@@ -260,4 +294,32 @@ SELECT source, CAST(max(d) AS BIGINT) AS peak, arg_min(start, (-d, start)) AS at
 l AS (SELECT vec_id AS source, CAST(i AS INT) AS i, sqrt(list_sum(list_transform(v[i * 6 + 1 : i * 6 + 6], lambda x: x * x)) / 6) AS level FROM levels),
 t AS (SELECT *, max(level) OVER (PARTITION BY source) AS top FROM l)
 SELECT source, i, round(CASE WHEN top > 0 THEN level / top ELSE level END, 6) AS value FROM t""",
+    "repair_log": _with(TOKENS, TURNS, *_passes()) + " " + " UNION ALL ".join(f"SELECT edl_id, part, no, kind, amount, {k} AS pass FROM faults{k}" for k in (1, 2, 3, 4)),
+    "repaired_ranges": _with(TOKENS, TURNS, *_passes()) + " SELECT edl_id, ord, source, start, stop FROM ranges4",
+    "trails": """WITH p AS (SELECT user_id, event_id, epoch_us(ts) AS at, CAST(round(value * 100) AS BIGINT) AS cents FROM events)
+SELECT *, count(*) OVER w AS n, min("at") OVER w AS oldest, CAST(sum(cents) OVER w AS BIGINT) AS total FROM p WINDOW w AS (PARTITION BY user_id ORDER BY "at" RANGE BETWEEN 172800000000 PRECEDING AND CURRENT ROW)""",
+    "lagged_starts": _with(TOKENS, TURNS)
+    + """, l AS (SELECT source, turn, stop - start AS length, (stop - start) * 30 // 100 AS share FROM turns),
+b AS (SELECT source, turn, length, CAST(coalesce(sum(share) OVER (PARTITION BY source ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "begin" FROM l)
+SELECT *, "begin" + length AS "end" FROM b""",
+    "squished": "SELECT p_partkey, round(greatest(0.0, least(1.0, (CAST(p_size AS DOUBLE) / 50 - 0.25) / 0.5)), 6) AS progress FROM part",
+    "matched_parts": r"""WITH RECURSIVE u AS (SELECT conv_id, turn, list_filter(string_split_regex(lower(regexp_replace(text, '[.,!?;:]', '', 'g')), '[ \t-\r]+'), lambda w: w <> '') AS a FROM conversations WHERE role = 'user'),
+pairs AS (SELECT * FROM (SELECT conv_id || '/' || turn AS take, a, lead(a) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM u) WHERE b IS NOT NULL),
+lines AS (
+  SELECT take, a, b, 0 AS i, list_transform(range(len(b) + 1), lambda j: CAST(0 AS BIGINT)) AS row FROM pairs
+  UNION ALL
+  SELECT take, a, b, i + 1, list_transform(range(1, len(b) + 2), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(row[k], CASE WHEN k > 1 AND a[i + 1] = b[k - 1] THEN row[k - 1] + 1 ELSE 0 END)))) FROM lines WHERE i < len(a)),
+lcs AS (SELECT take, row[len(b) + 1] AS n FROM lines WHERE i = len(a)),
+l AS (SELECT take, w, count(*) AS n FROM (SELECT take, unnest(a) AS w FROM pairs) GROUP BY ALL), r AS (SELECT take, w, count(*) AS n FROM (SELECT take, unnest(b) AS w FROM pairs) GROUP BY ALL),
+common AS (SELECT take, CAST(sum(least(l.n, r.n)) AS BIGINT) AS n FROM l JOIN r USING (take, w) GROUP BY take)
+SELECT take, lcs.n AS n_matched, coalesce(c.n, 0) - lcs.n AS n_moved, len(b) - coalesce(c.n, 0) AS n_added, len(a) - coalesce(c.n, 0) AS n_dropped FROM pairs JOIN lcs USING (take) LEFT JOIN common c USING (take) WHERE len(a) + len(b) > 0""",
+    "reactive_values": """WITH RECURSIVE needs AS (
+  SELECT p_partkey AS name, p_partkey // 2 AS need, 1 AS weight FROM part WHERE p_partkey > 1 UNION ALL SELECT p_partkey, p_partkey // 10, 2 FROM part WHERE p_partkey % 5 = 0 AND p_partkey > 9 UNION ALL SELECT p_partkey, p_partkey * 2, 1 FROM part WHERE p_partkey % 97 = 0),
+reached AS (
+  SELECT p_partkey AS name, p_partkey AS at, CAST(1 AS BIGINT) AS weight, 0 AS level, [p_partkey] AS seen, false AS cyclic FROM part
+  UNION ALL
+  SELECT r.name, n.need, r.weight * n.weight, r.level + 1, list_append(r.seen, n.need), list_contains(r.seen, n.need) FROM reached r JOIN needs n ON n.name = r.at WHERE NOT r.cyclic),
+found AS (SELECT r.name, sum(weight * p_size) AS value, max(level) AS level, bool_or(cyclic) AS cyclic, bool_or(p_partkey IS NULL) AS missing FROM reached r LEFT JOIN part ON p_partkey = r.at GROUP BY r.name)
+SELECT CAST(name AS VARCHAR) AS name, CAST(CASE WHEN NOT (cyclic OR missing) THEN value END AS BIGINT) AS value, CASE WHEN NOT cyclic THEN level END AS level, cyclic, missing FROM found""",
+    "loudness_plan": f"""SELECT o_orderkey, 'loudnorm={_AIMS}' || CASE WHEN o_orderkey % 5 < 2 THEN '' ELSE ':measured_I=' || o_orderkey % 17 || '.5:measured_TP=' || o_orderkey % 18 || '.5:measured_LRA=' || o_orderkey % 19 || '.5:measured_thresh=' || o_orderkey % 20 || '.5:offset=' || o_orderkey % 21 || '.5:linear=true' END AS step FROM orders""",
 }

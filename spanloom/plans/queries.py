@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import grading, text, timecode
-from ..operators import checks, compose, cues, intervals, sessions, signals, slips, spans
+from ..operators import alignment, checks, compose, cues, intervals, motion, reactive, sessions, signals, slips, spans
+from ..operators import repair as repairs
 from ..sources import readers
 from ..sources.tables import BUCKET, conversation_overlays, conversation_ranges, conversation_tokens, event_tokens, order_clips, table, turns
 from ..streaming.sessions import gap_sessions
@@ -236,7 +237,9 @@ def concat_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def render_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranges = _ranges(spark, sf_dir)[1]
+    """Some ranges have a beat, some only a note, some an empty beat."""
+    named = F.element_at(F.array(F.lit("hook"), F.lit(""), F.lit(None)), (F.col("ord") % 3 + 1).cast("int"))
+    ranges = _ranges(spark, sf_dir)[1].withColumns({"beat": named, "note": F.when(F.col("ord") % 2 == 0, F.concat(F.lit("turn "), F.col("ord").cast("string")))})
     media = ranges.select("source").distinct().where("source % 11 <> 0").select("source", F.concat(F.lit("/media/"), F.col("source").cast("string"), F.lit(".mp4")).alias("path"), F.when(F.col("source") % 3 == 0, "smpte2084").otherwise("bt709").alias("transfer"), (F.col("source") % 2 == 0).alias("portrait"))
     return compose.render_plan(ranges, media, grading.resolve_grade(F.lit("subtle")), 1000)
 
@@ -432,3 +435,76 @@ def block_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = rows.select("source", "total", "all", F.explode(F.sequence(F.lit(0), F.col("total") - 1, F.lit(16))).alias("first"))
     found = signals.block_envelope(cut.select("source", "total", "first", F.slice("all", (F.col("first") + 1).cast("int"), 16).alias("samples")), 10, 1000.0)
     return found.withColumn("value", F.round("value", 6))
+
+
+def _mended(spark: SparkSession, sf_dir: str) -> repairs.Repaired:
+    """Every fifth range reaches outside of its source, others are cut in mid-word; overlays last a minute."""
+    tokens, ranges = _ranges(spark, sf_dir)
+    lengths = tokens.groupBy("source").agg(F.max("stop").alias("length"))
+    early, later = F.when(F.col("ord") % 5 == 0, 20_000).otherwise(0), F.when(F.col("ord") % 5 == 4, 90_000).otherwise(0)
+    planted = ranges.withColumns({"start": F.col("start") - early, "stop": F.col("stop") + later})
+    overlays = conversation_overlays(tokens).withColumn("duration", F.lit(9000).cast("long"))
+    return repairs.repair(planted, overlays, tokens, lengths, BUCKET)
+
+
+@query
+def repair_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of three passes met, and (as a fourth) what is left."""
+    found = _mended(spark, sf_dir)
+    return found.log.unionByName(found.left.withColumn("pass", F.lit(4)))
+
+
+@query
+def repaired_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mended(spark, sf_dir).ranges
+
+
+@query
+def trails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each user over the two days before each, the value in cents."""
+    day = 24 * 3600 * 1_000_000
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), F.round(F.col("value") * 100).cast("long").alias("cents"))
+    return motion.trails(rows, "user_id", "at", "cents", 2 * day, 7 * day)
+
+
+@query
+def lagged_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn begins when 30 % of the one before has passed."""
+    rows = turns(conversation_tokens(spark, sf_dir)).select("source", "turn", (F.col("stop") - F.col("start")).alias("length"))
+    return motion.lagged_starts(rows, "source", "turn", "length", 30, 4)
+
+
+@query
+def squished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", F.round(motion.squished(F.col("p_size") / 50, 0.25, 0.75), 6).alias("progress"))
+
+
+@query
+def matched_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each of the user's turns against their next one, word by word: how many stay, move, are added and dropped."""
+    word = F.filter(F.split(F.lower(F.regexp_replace("text", "[.,!?;:]", "")), "[ \t-\r]+"), lambda w: w != "")
+    rows = table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", word.alias("words"))
+    after = F.lead("words").over(Window.partitionBy("conv_id").orderBy("turn"))
+    pairs = rows.select(F.concat_ws("/", "conv_id", "turn").alias("take"), "words", after.alias("next")).where("next is not null")
+    parts = alignment.matched_parts(pairs, "take", "words", "next")
+    number = lambda kind: F.count_if(F.col("kind") == kind).alias(f"n_{kind}")
+    return parts.groupBy("take").agg(*[number(kind) for kind in ("matched", "moved", "added", "dropped")])
+
+
+@query
+def reactive_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A part's value is its size, that of the part of half its number, and for every fifth twice that of a tenth; some need a later one, which makes cycles, or none that is there."""
+    key = F.col("p_partkey")
+    parts = table(spark, sf_dir, "part")
+    own = parts.select(key.cast("string").alias("name"), F.col("p_size").cast("long").alias("own"))
+    need = lambda when, of, weight: F.when(when, F.struct(F.floor(of).cast("string").alias("needs"), F.lit(weight).cast("long").alias("weight")))
+    needs = parts.select(key.cast("string").alias("name"), F.inline(F.array_compact(F.array(need(key > 1, key / 2, 1), need((key % 5 == 0) & (key > 9), key / 10, 2), need(key % 97 == 0, key * 2, 1)))))
+    return reactive.reactive_values(own, needs)
+
+
+@query
+def loudness_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loudness objects in logs: some missing, some without a key, the others taken over."""
+    whole = F.concat(F.lit("[Parsed] x\n{\n"), F.concat_ws(",\n", *[F.concat(F.lit(f'"{k}" : "'), (F.col("o_orderkey") % (17 + i)).cast("string"), F.lit('.5"')) for i, k in enumerate(readers.LOUDNESS_KEYS)]), F.lit(', "other": "1"\n}\nend'))
+    log = F.when(F.col("o_orderkey") % 5 == 0, "no object here").when(F.col("o_orderkey") % 5 == 1, F.replace(whole, F.lit("input_tp"), F.lit("input_xx"))).otherwise(whole)
+    return readers.loudness(table(spark, sf_dir, "orders").select("o_orderkey", log.alias("log"))).select("o_orderkey", compose.loudness_step(F.col("measured")).alias("step"))

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import embedded_object, resolve_path
+from ..functions.text import embedded_object, first_filled, resolve_path
 from ..operators.checks import required_path
 
-# The extensions of media files, by case.
+# The extensions of media files, by case; the keys of statistics lines and of loudness objects.
 MEDIA_EXTENSIONS = (".mp4", ".MP4", ".mov", ".MOV", ".mkv", ".MKV", ".avi", ".AVI", ".m4v")
+STATISTICS_PREFIX, STATISTICS_KEYS = "lavfi.signalstats.", ("YAVG", "YMIN", "YMAX", "SATAVG", "YBITDEPTH")
 LOUDNESS_KEYS = ("input_i", "input_tp", "input_lra", "input_thresh", "target_offset")
 
 TOKEN = "struct<type:string,text:string,start:double,end:double,speaker_id:string>"
@@ -72,7 +73,7 @@ def edl_ranges(edls: DataFrame, folder: str | None = None, strict: bool = False)
     Paths that are not absolute lie below ``folder``, where it is given.
     """
     each = edls.select("edl_id", "sources", F.posexplode("ranges").alias("ord", "r"))
-    note = F.coalesce(F.nullif("r.beat", F.lit("")), F.nullif("r.note", F.lit("")), F.lit(""))
+    note = first_filled(F.col("r.beat"), F.col("r.note"))
     path = required_path(F.col("sources"), F.col("r.source")) if strict else F.try_element_at("sources", F.col("r.source"))
     path = path if folder is None else resolve_path(path, F.lit(folder))
     return each.select("edl_id", "ord", "r.source", path.alias("path"), "r.start", F.col("r.end").alias("stop"), note.alias("note"))
@@ -86,9 +87,9 @@ def edl_overlays(edls: DataFrame) -> DataFrame:
 
 def frame_values(lines: DataFrame) -> DataFrame:
     """clip, pos, key and value of the statistics lines (clip, pos, line); others are skipped."""
-    key = F.regexp_extract("line", "(YAVG|YMIN|YMAX|SATAVG|YBITDEPTH)", 1)
+    key = F.regexp_extract("line", f"({'|'.join(STATISTICS_KEYS)})", 1)
     value = F.substring_index("line", "=", -1).try_cast("double")
-    return lines.where(F.col("line").contains("lavfi.signalstats.") & F.col("line").contains("=")).select("clip", "pos", key.alias("key"), value.alias("value")).where("key <> '' and value is not null")
+    return lines.where(F.col("line").contains(STATISTICS_PREFIX) & F.col("line").contains("=")).select("clip", "pos", key.alias("key"), value.alias("value")).where("key <> '' and value is not null")
 
 
 def loudness(logs: DataFrame, column: str = "log") -> DataFrame:
