@@ -45,7 +45,8 @@ def word_at(edges: DataFrame, words: DataFrame, width: float) -> DataFrame:
 
 
 def _edges(ranges: DataFrame) -> DataFrame:
-    return ranges.select("source", "edl_id", "ord", F.inline(F.array(F.struct(F.lit("start").alias("end"), F.col("start").alias("at")), F.struct(F.lit("stop").alias("end"), F.col("stop").alias("at")))))
+    """Both ends of each range, with its other columns."""
+    return ranges.select(*[c for c in ranges.columns if c not in ("start", "stop")], F.inline(F.array(F.struct(F.lit("start").alias("end"), F.col("start").alias("at")), F.struct(F.lit("stop").alias("end"), F.col("stop").alias("at")))))
 
 
 def _before(overlays: DataFrame) -> DataFrame:
@@ -86,10 +87,12 @@ def mend(ranges: DataFrame, overlays: DataFrame, words: DataFrame, lengths: Data
     known = ranges.join(lengths, "source", "left")
     within = lambda c: F.greatest(F.least(F.col(c), F.coalesce("length", F.col(c))), F.lit(0))
     clamped = known.withColumns({"start": within("start"), "stop": within("stop")}).select(*names)
+    # the ends carry their range along, so nothing has to be joined to them again
     edges = word_at(_edges(clamped), words, width)
     side = lambda end: F.max(F.when(F.col("end") == end, F.struct("at", "word_start", "word_stop"))).alias(end)
-    moved = edges.groupBy("edl_id", "ord").agg(side("start"), side("stop")).select("edl_id", "ord", _nearest("start").alias("start"), _nearest("stop").alias("stop"))
-    out = clamped.drop("start", "stop").join(moved, ["edl_id", "ord"]).select(*names)
+    others = [F.any_value(c).alias(c) for c in names if c not in ("edl_id", "ord", "start", "stop")]
+    both = edges.groupBy("edl_id", "ord").agg(*others, side("start"), side("stop"))
+    out = both.withColumns({"start": _nearest("start"), "stop": _nearest("stop")}).select(*names)
     return out, _before(overlays).withColumn("start", F.greatest("start", "free")).drop("free")
 
 
