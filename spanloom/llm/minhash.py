@@ -202,7 +202,11 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     one = sets.select(F.col("rep").alias("lead"), F.col("sketch").alias("short"), F.col("shingles").alias("one"))
     other = sets.select("rep", F.col("sketch").alias("other_short"), F.col("shingles").alias("other"))
     linked = pairs.join(one, "lead").join(other, "rep")
-    first = stored(linked.select("lead", "rep", "short", "other_short", "one", "other").mapInArrow(verify, "u long, v long"), "links")
+    # rows of one doc_id with different texts are one document: the classes of its texts are linked
+    several = alive.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("doc_id")
+    own_reps = alive.select("doc_id", "digest").join(several, "doc_id", "left_semi").join(reps, "digest").select("doc_id", "rep").distinct()
+    same = own_reps.join(own_reps.groupBy("doc_id").agg(F.min("rep").alias("u")), "doc_id").where("u <> rep").select("u", F.col("rep").alias("v"))
+    first = stored(linked.select("lead", "rep", "short", "other_short", "one", "other").mapInArrow(verify, "u long, v long").unionByName(same), "links")
     joined = components(first)
     discard(first)
 

@@ -1,7 +1,8 @@
 """Mixing sources to target weights.
 
 The words of each source, document after document, are packed into blocks of a
-fixed number of words.  How many blocks a source gives is fixed by its target;
+fixed number of words, smaller ones in small sources, which would miss their
+targets by whole blocks otherwise.  How many blocks a source gives is fixed by its target;
 how many of them each output shard takes is a multinomial draw from what is
 left.  The slots so given to a source are numbered, and a keyed pseudorandom
 permutation maps the number of a slot to the index of a block: each pass over
@@ -38,8 +39,9 @@ from .vectors import U, mix
 
 @dataclass(frozen=True)
 class MixConfig:
-    #: Words of a block.
+    #: Words of a block; fewer in a source of whose target that would be less than ``least`` blocks.
     block: int = 128
+    least: int = 100
     #: Output shards.
     shards: int = 64
     #: Slots drawn at a time.
@@ -57,6 +59,11 @@ def n_words(text: Column) -> Column:
     return F.size(F.split(F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" ")), "[ \t-\r]+")) - 2
 
 
+def block_words(target: Column, config: MixConfig) -> Column:
+    """Words of a block of a source: the configured number, or so few that a small target is many blocks (1 at least)."""
+    return F.greatest(F.lit(1), F.least(F.lit(config.block), F.floor(target / config.least))).cast("long")
+
+
 def numbered(sources: DataFrame) -> DataFrame:
     """``sources`` with ``source_no``: 0, 1, 2 ... in the order of (missing, name), counted by ranges."""
     spark = sources.sparkSession
@@ -135,27 +142,28 @@ class Mixture:
 def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> Mixture:
     """Mix ``docs`` (doc_id, source, text): the documents of the result have
     doc_id, source, size, source_size, target and taken."""
-    spark, size = docs.sparkSession, config.block
+    spark = docs.sparkSession
     named = {"name": F.coalesce("source", F.lit("")), "missing": F.col("source").isNull()}
     rows = docs.select("doc_id", "source", n_words(F.col("text")).cast("long").alias("size"))
     rows = stored(rows.withColumns(named | {"place": F.xxhash64("doc_id", F.lit(config.seed))}), "sizes")
     total = rows.agg(F.count("*").alias("rows"), F.sum("size").alias("words")).first()
 
     # one row for each source: its number, target, blocks and slots
-    blocks = F.ceil(F.col("size") / size)
+    unit = block_words(F.col("target"), config)
+    blocks = F.ceil(F.col("size") / F.col("unit"))
     slots = F.when(F.col("size") > 0, F.least(config.passes * blocks, F.round(F.col("target") * blocks / F.col("size")).cast("long"))).otherwise(0)
     listed = with_targets(numbered(rows.groupBy("missing", "name").agg(F.sum("size").alias("size"))), config.weights, config.passes)
-    sources = stored(listed.withColumns({"blocks": blocks, "wanted": slots, "grp": F.pmod(F.xxhash64("source_no"), F.lit(config.groups)).cast("int")}), "targets")
+    sources = stored(listed.withColumn("unit", unit).withColumns({"blocks": blocks, "wanted": slots, "grp": F.pmod(F.xxhash64("source_no"), F.lit(config.groups)).cast("int")}), "targets")
 
     # where each document's words begin within its source
     salts = int(min(1 << 20, max(64, total["rows"] // 50_000)))
     known = rows.withColumn("salt", F.pmod("place", F.lit(salts)).cast("int"))
     earlier = Window.partitionBy("missing", "name").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = known.groupBy("missing", "name", "salt").agg(F.sum("size").alias("n")).select("missing", "name", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    offsets = offsets.join(sources.select("missing", "name", "source_no", F.col("size").alias("source_size"), "target"), ["missing", "name"])
+    offsets = offsets.join(sources.select("missing", "name", "source_no", F.col("size").alias("source_size"), "target", "unit"), ["missing", "name"])
     inside = Window.partitionBy("missing", "name", "salt").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     begin = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    laid = known.join(offsets.hint("merge"), ["missing", "name", "salt"]).withColumn("begin", begin).select("doc_id", "source", "size", "source_no", "source_size", "target", "begin")
+    laid = known.join(offsets.hint("merge"), ["missing", "name", "salt"]).withColumn("begin", begin).select("doc_id", "source", "size", "source_no", "source_size", "target", "unit", "begin")
 
     # how many slots each group of sources has in each shard; at most groups x shards numbers
     grouped = dict(sources.groupBy("grp").agg(F.sum("wanted")).collect())
@@ -212,8 +220,8 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> Mixture:
     # join by index: the pieces of documents in blocks, and how often each block is taken
     drawn = slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
     end = F.col("begin") + F.col("size")
-    pieces = laid.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / size), F.floor((end - 1) / size))))
-    words = F.least(end, (F.col("block") + 1) * size) - F.greatest("begin", F.col("block") * size)
+    pieces = laid.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / F.col("unit")), F.floor((end - 1) / F.col("unit")))))
+    words = F.least(end, (F.col("block") + 1) * F.col("unit")) - F.greatest("begin", F.col("block") * F.col("unit"))
     # as many rows as blocks: without the hint it would be broadcast, its size being taken for that of the plan
     taken = pieces.join(drawn.hint("merge"), ["source_no", "block"], "left").groupBy("source_no", "begin", "doc_id", "source", "size", "source_size", "target").agg(F.sum(words * F.coalesce("times", F.lit(0))).alias("taken"))
     none = laid.where("size = 0").select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))

@@ -7,17 +7,19 @@ leaves.  The quantile is found by histograms: each pass is one aggregation
 over all nodes of a level and returns a bounded number of bins to the driver,
 which narrows down the bin that holds the cut.
 
-Rows are ordered by (dimension, group, tie), so equal values can be cut too.
-The rule on groups of equal texts: a group lies in one shard, unless it weighs
-more than ``whole`` (2 %) of an ideal shard and a cut falls inside it; then it
-is cut there by the hash of (doc_id, text).  So a group that holds a third of
+Rows are ordered by (dimension, group, tie, copy), so equal values can be cut
+too.  The rule on groups of equal texts: a group lies in one shard, unless it
+weighs more than ``whole`` (2 %) of an ideal shard and a cut falls inside it;
+then it is cut there by the hash of (doc_id, text), and rows that are equal in
+both by a number of their own.  So a group that holds a third of
 all rows is spread over the shards that its bytes fill, and keeping smaller
 groups whole moves no cut by more than half of ``whole`` of a shard.
 
 Everything on the rows is DataFrame operations.
 
 Defined cases: a null text weighs nothing but the constant; an empty table
-gives an empty result; rows equal in everything stay together; a null doc_id
+gives an empty result; rows equal in everything may lie in
+different shards, if they are too heavy for one; a null doc_id
 is a value like others; with fewer rows than shards some shards are empty;
 texts of any length are measured whole and never cut; other columns, whatever
 their names, are not read.
@@ -65,8 +67,8 @@ class _Node:
         return [v for _, v in self.cut]
 
 
-def kd_shards(rows: DataFrame, shards: int, weight: str, dims: list[str], group: str, tie: str, whole: float = 0.02, bins: int = 512) -> DataFrame:
-    """``rows`` with ``shard`` (0 to shards - 1); ``dims``, ``group`` and ``tie`` are long columns."""
+def kd_shards(rows: DataFrame, shards: int, weight: str, dims: list[str], keys: list[str], whole: float = 0.02, bins: int = 512) -> DataFrame:
+    """``rows`` with ``shard`` (0 to shards - 1); ``dims`` and ``keys`` (the group, then what tells its rows apart) are long columns."""
     every = rows.agg(F.sum(weight).alias("w"), *[f(d).alias(f"{n}_{d}") for d in dims for n, f in (("low", F.min), ("high", F.max))]).first()
     root = _Node(0, shards)
     if every["w"] is None:
@@ -76,7 +78,7 @@ def kd_shards(rows: DataFrame, shards: int, weight: str, dims: list[str], group:
     level = [root]
     while any(n.leaves > 1 for n in level):
         open_nodes = [n for n in level if n.leaves > 1]
-        placed = rows.withColumn("node", _place(root, [group, tie]))
+        placed = rows.withColumn("node", _place(root, keys))
         facts = {r["node"]: r for r in placed.groupBy("node").agg(F.sum(weight).alias("w"), *[f(d).alias(f"{k}_{d}") for d in dims for k, f in (("low", F.min), ("high", F.max))]).collect()}
         for n in open_nodes:
             r = facts.get(n.first)
@@ -85,12 +87,12 @@ def kd_shards(rows: DataFrame, shards: int, weight: str, dims: list[str], group:
                 continue
             n.dim = max(dims, key=lambda d: (r[f"high_{d}"] - r[f"low_{d}"]) / extent[d])
             n.low, n.high, n.want = r[f"low_{n.dim}"], r[f"high_{n.dim}"], r["w"] * (n.leaves // 2) / n.leaves
-        _find_cuts(placed, [n for n in open_nodes if not n.cut], weight, [group, tie], ideal, whole, bins)
+        _find_cuts(placed, [n for n in open_nodes if not n.cut], weight, keys, ideal, whole, bins)
         for n in open_nodes:
             half = n.leaves // 2
             n.left, n.right = _Node(n.first, half), _Node(n.first + half, n.leaves - half)
         level = [child for n in level for child in ((n.left, n.right) if n.left else (n,))]
-    return rows.withColumn("shard", _place(root, [group, tie]))
+    return rows.withColumn("shard", _place(root, keys))
 
 
 def _place(node: _Node, keys: list[str]) -> Column:
@@ -170,8 +172,10 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
         (size - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))).alias("lines"),
         F.xxhash64(text).alias("group"),
         F.xxhash64("doc_id", text).alias("tie"),
+        # tells rows apart that are equal in both; the rows are written, so it stays
+        F.xxhash64(F.monotonically_increasing_id()).alias("copy"),
     )
     rows = stored(rows, "metadata")
-    placed = kd_shards(rows, shards, "size", ["bytes", "wide", "lines"], "group", "tie")
+    placed = kd_shards(rows, shards, "size", ["bytes", "wide", "lines"], ["group", "tie", "copy"])
     bits = min(12, max(2, (rows.count() // (shards * 100_000)).bit_length()))
-    return with_slots(placed, "tie", bits).select("doc_id", "size", "text_crc32", "shard", "slot")
+    return with_slots(placed.withColumn("order", F.xxhash64("tie", "copy")), "order", bits).select("doc_id", "size", "text_crc32", "shard", "slot")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.llm import ann, langid, mixing, quality, queries, rules, secrets, sharding
+from spanloom.llm import ann, langid, minhash, mixing, quality, queries, rules, secrets, sharding
 from spanloom.llm.sampling import remainder
 from spanloom.llm.shared import scratch
 
@@ -99,12 +99,13 @@ def test_mixture_follows_its_slots(spark, docs):
     for r in slots:
         times.setdefault(r["source_no"], {}).setdefault(r["block"], []).append(r["slot"])
     for no, source in enumerate(order):
-        own, blocks = times.get(no, {}), -(-size[source] // config.block)
+        unit = max(1, min(config.block, int(target[source] // config.least)))
+        own, blocks = times.get(no, {}), -(-size[source] // unit)
         n = [len(own.get(b, ())) for b in range(blocks)]
         assert sum(n) == min(3 * blocks, round(target[source] * blocks / size[source])) and max(n) - min(n) <= 1
         assert sorted(x for s in own.values() for x in s) == list(range(sum(n)))
-        last = size[source] - (blocks - 1) * config.block
-        assert taken[source] == sum(k * (config.block if b < blocks - 1 else last) for b, k in enumerate(n))
+        last = size[source] - (blocks - 1) * unit
+        assert taken[source] == sum(k * (unit if b < blocks - 1 else last) for b, k in enumerate(n))
     shards = np.bincount([r["shard"] for r in slots], minlength=7)
     assert shards.max() - shards.min() <= 1
 
@@ -115,8 +116,8 @@ def test_many_sources(spark):
         got = mixing.mix_sources(rows).documents.groupBy("source").agg(F.first("source_size").alias("size"), F.first("target").alias("target"), F.sum("taken").alias("taken")).toPandas()
     want = brute.mixing_targets(dict(zip(got["source"], got["size"].tolist(), strict=True)))
     assert np.allclose(got["target"], [want[s] for s in got["source"]])
-    assert abs(got["taken"].sum() / got["target"].sum() - 1) < 0.01 and (got["taken"] <= 3 * got["size"]).all()
-    assert ((got["taken"] - got["target"]).abs() <= 128 + 0.1 * got["target"]).all()
+    assert abs(got["taken"].sum() / got["target"].sum() - 1) < 0.001 and (got["taken"] <= 3 * got["size"]).all()
+    assert ((got["taken"] - got["target"]).abs() <= np.maximum(8, 0.02 * got["target"])).all()
 
 
 def test_secret_spans_are_a_plain_forward_pass(spark, docs):
@@ -131,9 +132,9 @@ def test_secret_spans_are_a_plain_forward_pass(spark, docs):
         base = secrets.base_spans(text or "")
         spans = secrets.candidates(text or "", base)
         x = np.array([secrets.encoded(text, s, e, model.config) for s, e in spans], np.uint8).reshape(-1, model.config.inside + 2 * model.config.around)
-        scores = 1 / (1 + np.exp(-(model.scale * model._forward(x)[3] + model.offset))) if len(x) else []
-        sure = {(s, e, "model") for (s, e), p in zip(spans, scores, strict=True) if p >= model.threshold + 1e-5}
-        maybe = {(s, e, "model") for (s, e), p in zip(spans, scores, strict=True) if p >= model.threshold - 1e-5}
+        scores = model._forward(x)[3] if len(x) else []
+        sure = {(s, e, "model") for (s, e), p in zip(spans, scores, strict=True) if p >= model.threshold + 1e-3}
+        maybe = {(s, e, "model") for (s, e), p in zip(spans, scores, strict=True) if p >= model.threshold - 1e-3}
         assert set(base) | sure <= set(got[d]) <= set(base) | maybe
 
 
@@ -160,3 +161,31 @@ def test_tree_search_prunes_and_finds(spark, sf_dir):
         hits, n = hits + len(set(want) & set(mine)), n + 10
     print("recall", hits / n)
     assert hits / n >= 0.9
+
+
+def test_small_sources_meet_their_targets(spark):
+    """300 sources of 100 words: a block of 128 would be all of each."""
+    rows = [(i * 4 + k, f"s{i:03}", "word " * 25) for i in range(300) for k in range(4)]
+    mixed = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string")).documents
+    got = {r["source"]: (r["target"], r["taken"]) for r in mixed.groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()}
+    assert {round(t) for t, _ in got.values()} == {50, 100, 150} and all(abs(n - t) <= 1 for t, n in got.values())
+
+
+def test_equal_rows_are_cut(spark):
+    """A third of all rows equal in everything, with a null id."""
+    rows = [(None, "the same text for all of these " * 4)] * 1000 + [(i, f"text {i} " * (3 + i % 29)) for i in range(2000)]
+    placed = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    load, slots = np.zeros(24), [[] for _ in range(24)]
+    for r in placed:
+        load[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert len(placed) == 3000 and all(sorted(s) == list(range(len(s))) for s in slots)
+    assert abs(load / load.mean() - 1).max() < 0.06
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    b = " ".join(f"v{i}" for i in range(60))
+    rows = [(3, a), (5, a), (5, b), (9, b + " end"), (7, " ".join(f"u{i}" for i in range(60)))]
+    got = [(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == [(3, 3, True), (5, 3, False), (5, 3, False), (7, 7, True), (9, 3, False)]
