@@ -48,8 +48,9 @@ def matched_parts(pairs: DataFrame, key: str, left: str, right: str, key_map: di
     """
     plain = lambda c: F.filter(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: x.isNotNull())
     own = plain(left)
-    for old, new in (key_map or {}).items():
-        own = F.transform(own, lambda x, a=old, b=new: F.when(x == a, F.lit(b)).otherwise(x))
+    if key_map:
+        named = F.create_map(*[F.lit(x) for pair in key_map.items() for x in pair])
+        own = F.transform(own, lambda x: F.coalesce(F.try_element_at(named, x), x))
     rows = pairs.select(key, own.alias("a"), plain(right).alias("b"))
     some = (F.size("a") > 0) & (F.size("b") > 0)
     table, walk = matched_positions(F.col("a"), F.col("b"))
