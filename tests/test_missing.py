@@ -40,8 +40,16 @@ def as_times(rows):
     return [(s, p, k, t, moment(a), moment(b), w) for s, p, k, t, a, b, w in rows]
 
 
+@pytest.fixture
+def rocks(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    yield
+    spark.conf.unset(name)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-def test_stream_of_shuffled_tokens_equals_phrases(spark, tmp_path, seed):
+def test_stream_of_shuffled_tokens_equals_phrases(spark, rocks, tmp_path, seed):
     rng = random.Random(seed)
     rows = spoken(rng)
     # a token comes up to 3 s late, in micro-batches of 40; the last ones push the watermark on
@@ -49,7 +57,6 @@ def test_stream_of_shuffled_tokens_equals_phrases(spark, tmp_path, seed):
     batches = [order[i : i + 40] for i in range(0, len(order), 40)]
     end = max(r[4] for r in order) + timedelta(seconds=60)
     batches += [[("end", k, "word", "end", end + timedelta(seconds=9 * k), None, None)] for k in range(3)]
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     folder = tmp_path / "in"
     folder.mkdir()
     whole = lambda t: None if t is None else t.strftime("%Y-%m-%dT%H:%M:%S.%fZ")
