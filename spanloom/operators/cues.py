@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import timecode
 from .intervals import offsets, overlap_join
+from .stretches import running
 
 
-def cues(ranges: DataFrame, tokens: DataFrame, width: float, shortest: float, words: int = 2) -> DataFrame:
+def cues(ranges: DataFrame, tokens: DataFrame, width: float, shortest: float, words: int = 2, stretch: float | None = None) -> DataFrame:
     """edl_id, ord, chunk, cue_no, out_start, out_stop and text.
 
     The words of each range go in chunks of ``words``, closed early after
     punctuation.  Offsets come before the join, so a range whose source has no
     tokens still moves the later ones.  A cue that would not last lasts
-    ``shortest``.
+    ``shortest``.  With a ``stretch`` the cues of a list are numbered by
+    stretches of so much time, and its ranges placed by stretches of 1,000.
     """
     spoken = tokens.where("type = 'word'").withColumn("text", T.strip(F.coalesce("text", F.lit("")))).where("text <> ''")
-    inside = overlap_join(offsets(ranges), spoken, width)
+    inside = overlap_join(offsets(ranges, None if stretch is None else 1000), spoken, width)
     order = Window.partitionBy("edl_id", "ord").orderBy("pos")
     run = F.coalesce(F.sum(T.ends_in_break(F.col("text")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     within = Window.partitionBy("edl_id", "ord", "run").orderBy("pos")
@@ -38,8 +40,8 @@ def cues(ranges: DataFrame, tokens: DataFrame, width: float, shortest: float, wo
     timed = chunks.withColumns({"out_start": begin, "out_stop": end, "text": T.caption(F.array_join(F.transform("words", lambda w: w["text"]), " "))})
     timed = timed.withColumn("out_stop", F.when(F.col("out_stop") <= F.col("out_start"), F.col("out_start") + shortest).otherwise(F.col("out_stop")))
     chunk = F.row_number().over(Window.partitionBy("edl_id", "ord").orderBy("first_pos"))
-    number = F.row_number().over(Window.partitionBy("edl_id").orderBy("out_start", "ord", "chunk"))
-    return timed.withColumn("chunk", chunk).withColumn("cue_no", number).select("edl_id", "ord", "chunk", "cue_no", "out_start", "out_stop", "text")
+    numbered = running(timed.withColumn("chunk", chunk), ["edl_id"], "out_start", stretch, sums={"cue_no": F.lit(1)}, then=("ord", "chunk"))
+    return numbered.select("edl_id", "ord", "chunk", F.col("cue_no").cast("int"), "out_start", "out_stop", "text")
 
 
 def subtitle_blocks(cues_: DataFrame) -> DataFrame:

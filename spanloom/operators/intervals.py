@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .stretches import opened, running
+
 
 def _buckets(start: Column, stop: Column, width: float) -> Column:
     """The buckets that [start, stop) touches; a later-than-stop start touches its own."""
@@ -27,10 +29,13 @@ def overlap_join(ranges: DataFrame, tokens: DataFrame, width: float) -> DataFram
     return found.select(*ranges.columns, "pos", "type", "text", "token_start", "token_stop")
 
 
-def offsets(ranges: DataFrame) -> DataFrame:
-    """``ranges`` with ``offset``: where each begins in the output."""
-    before = Window.partitionBy("edl_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    return ranges.withColumn("offset", F.coalesce(F.sum(F.col("stop") - F.col("start")).over(before), F.lit(0)))
+def offsets(ranges: DataFrame, width: float | None = None) -> DataFrame:
+    """``ranges`` with ``offset``: where each begins in the output.
+
+    With a ``width`` a list is dealt to stretches of so many ``ord``; sums of
+    whole numbers are the same either way.
+    """
+    return running(ranges, ["edl_id"], "ord", width, sums={"offset": F.col("stop") - F.col("start")}, before=True)
 
 
 def silences(ranges: DataFrame, tokens: DataFrame, least: float, width: float) -> DataFrame:
@@ -49,20 +54,30 @@ def silences(ranges: DataFrame, tokens: DataFrame, least: float, width: float) -
     return found.where(F.col("gap_stop") - F.col("gap_start") >= least)
 
 
-def snap(edges: DataFrame, boundaries: DataFrame) -> DataFrame:
+def snap(edges: DataFrame, boundaries: DataFrame, width: float | None = None) -> DataFrame:
     """``edges`` (source, at, ...) with ``snapped``: the nearest boundary (source, at), the earlier of two.
 
     An as-of join in both directions without pairs: edges and boundaries of a
-    source in one order, the last and the next boundary carried along.
+    source in one order, the last and the next boundary carried along.  With a
+    ``width`` a source is dealt to stretches of so much time, each of which is
+    told the last boundary before it and the next one after it.  A null time
+    snaps to nothing.
     """
     names = [c for c in edges.columns if c not in ("source", "at")]
-    marks = boundaries.select("source", "at", *[F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in names], F.col("at").alias("mark")).distinct()
+    marks = boundaries.where("at is not null").select("source", "at", *[F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in names], F.col("at").alias("mark")).distinct()
     both = edges.select("source", "at", *names, F.lit(None).cast(edges.schema["at"].dataType).alias("mark")).unionByName(marks)
+    both = both if width is None else both.withColumn("stretch", F.floor(F.col("at") / width))
+    by = Window.partitionBy("source") if width is None else Window.partitionBy("source", "stretch")
     # both are running frames, each in its own order: a frame to the end would be gone through anew for every row
-    so_far = lambda order: F.last("mark", ignorenulls=True).over(Window.partitionBy("source").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    both = both.withColumns({"low": so_far(F.asc("at")), "high": so_far(F.desc("at"))})
+    so_far = lambda order: F.last("mark", ignorenulls=True).over(by.orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    found = both.withColumns({"low": so_far(F.asc("at")), "high": so_far(F.desc("at"))})
+    if width is not None:
+        whole = both.groupBy("source", "stretch").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))
+        beyond = lambda order: Window.partitionBy("source").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        whole = whole.select("source", "stretch", F.max("last").over(beyond(F.asc("stretch"))).alias("below"), F.min("first").over(beyond(F.desc("stretch"))).alias("above"))
+        found = opened(found, whole, ["source"]).withColumns({"low": F.coalesce("low", "below"), "high": F.coalesce("high", "above")})
     nearest = F.when(F.col("high").isNull() | (F.col("at") - F.col("low") <= F.col("high") - F.col("at")), F.col("low")).otherwise(F.col("high"))
-    return both.where("mark is null").select("source", "at", *names, nearest.alias("snapped"))
+    return found.where("mark is null").select("source", "at", *names, F.when(F.col("at").isNotNull(), nearest).alias("snapped"))
 
 
 def pad_edges(ranges: DataFrame, before: float, after: float, low: float, high: float) -> DataFrame:

@@ -7,9 +7,36 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import timecode
+from .stretches import opened, running
 
 
-def phrases(tokens: DataFrame, gap: float) -> DataFrame:
+def _islands(rows: DataFrame, gap: float, width: float | None) -> DataFrame:
+    """``rows`` with ``island``, which changes where a silence of ``gap`` lies before a row: the place of the last silence, null before any.
+
+    With a ``width`` a source is dealt to stretches of so many positions.  In a
+    stretch only the first spoken token needs an earlier one, so one row for
+    each stretch tells where the next ones open.
+    """
+    silent = F.coalesce(F.col("spacing") & (F.col("stop") - F.col("start") >= gap), F.lit(False))
+    end = F.when(F.col("spoken"), F.coalesce("stop", "start"))
+    late = lambda ended: F.coalesce(F.col("spoken") & (F.col("start") - ended >= gap), F.lit(False))
+    by = ["source"] if width is None else ["source", "stretch"]
+    rows = rows if width is None else rows.withColumn("stretch", F.floor(F.col("pos") / width))
+    order = Window.partitionBy(*by).orderBy("pos")
+    rows = rows.withColumn("ended", F.last(end, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    if width is not None:
+        first = F.min(F.when(F.col("spoken"), F.struct("pos", "start")))
+        whole = rows.groupBy(*by).agg(first.alias("first"), F.max_by(end, F.when(end.isNotNull(), F.col("pos"))).alias("end"), F.max(F.when(silent | late(F.col("ended")), F.col("pos"))).alias("cut"))
+        earlier = Window.partitionBy("source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+        whole = whole.withColumn("opening_end", F.last("end", ignorenulls=True).over(earlier))
+        cut = F.greatest("cut", F.when(F.col("first.start") - F.col("opening_end") >= gap, F.col("first.pos")))
+        rows = opened(rows, whole.select(*by, "opening_end", F.max(cut).over(earlier).alias("opening_cut")), ["source"])
+        rows = rows.withColumn("ended", F.coalesce("ended", "opening_end"))
+    island = F.max(F.when(silent | late(F.col("ended")), F.col("pos"))).over(order)
+    return rows.withColumn("island", island if width is None else F.greatest(island, "opening_cut"))
+
+
+def phrases(tokens: DataFrame, gap: float, width: float | None = None) -> DataFrame:
     """source, phrase_no, start, stop, speaker and text of each phrase.
 
     A phrase begins where a spacing token of ``gap`` or more lies since the
@@ -19,17 +46,14 @@ def phrases(tokens: DataFrame, gap: float) -> DataFrame:
     the order of ``pos``; the end is the last token's, even if an earlier token
     ended later.  A token without an end ends where it starts.
 
-    One exchange on ``source`` serves all windows and aggregates.
+    One exchange on ``source`` serves all windows and aggregates, so a source is
+    one task.  With a ``width`` a source is dealt to stretches of so many
+    positions and then to what lies between two silences; that reads the tokens
+    four times, and is for sources too long for a task.
     """
-    order = Window.partitionBy("source").orderBy("pos")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
     spacing = F.coalesce("type", F.lit("word")) == "spacing"
     rows = tokens.select("source", "pos", "type", "text", "start", "stop", "speaker", (~spacing & F.col("start").isNotNull()).alias("spoken"), spacing.alias("spacing"))
-    ended = F.last(F.when(F.col("spoken"), F.coalesce("stop", "start")), ignorenulls=True).over(before)
-    silent = F.col("spacing") & (F.col("stop") - F.col("start") >= gap)
-    late = F.col("spoken") & (F.col("start") - ended >= gap)
-    rows = rows.withColumn("breaks", F.coalesce(silent, F.lit(False)) | F.coalesce(late, F.lit(False)))
-    rows = rows.withColumn("island", F.sum(F.col("breaks").cast("int")).over(order)).where("spoken")
+    rows = _islands(rows, gap, width).where("spoken")
     inside = Window.partitionBy("source", "island").orderBy("pos")
     spoke = F.last("speaker", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1))
     turns = F.first("speaker").over(inside).isNotNull() & (F.col("speaker") != spoke)
@@ -43,8 +67,8 @@ def phrases(tokens: DataFrame, gap: float) -> DataFrame:
         F.sort_array(F.collect_list(F.when(piece.isNotNull(), F.struct("pos", piece.alias("piece"))))).alias("pieces"),
     )
     found = found.where(F.size("pieces") > 0).withColumn("text", T.attach_punctuation(F.array_join(F.transform("pieces", lambda p: p["piece"]), " ")))
-    number = F.row_number().over(Window.partitionBy("source").orderBy("first_pos"))
-    return found.select("source", number.alias("phrase_no"), "start", "stop", "speaker", "text")
+    found = running(found, ["source"], "first_pos", width, sums={"phrase_no": F.lit(1)})
+    return found.select("source", F.col("phrase_no").cast("int"), "start", "stop", "speaker", "text")
 
 
 def source_summary(sources: DataFrame, phrases_: DataFrame) -> DataFrame:

@@ -323,3 +323,6 @@ found AS (SELECT r.name, sum(weight * p_size) AS value, max(level) AS level, boo
 SELECT CAST(name AS VARCHAR) AS name, CAST(CASE WHEN NOT (cyclic OR missing) THEN value END AS BIGINT) AS value, CASE WHEN NOT cyclic THEN level END AS level, cyclic, missing FROM found""",
     "loudness_plan": f"""SELECT o_orderkey, 'loudnorm={_AIMS}' || CASE WHEN o_orderkey % 5 < 2 THEN '' ELSE ':measured_I=' || o_orderkey % 17 || '.5:measured_TP=' || o_orderkey % 18 || '.5:measured_LRA=' || o_orderkey % 19 || '.5:measured_thresh=' || o_orderkey % 20 || '.5:offset=' || o_orderkey % 21 || '.5:linear=true' END AS step FROM orders""",
 }
+
+# the same rows, however a source is dealt to tasks
+SQL |= {"long_phrases": SQL["phrases_events"], "long_snap": SQL["snap_asof"], "long_cues": SQL["cues"]}

@@ -45,6 +45,12 @@ def phrases_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.phrases(event_tokens(spark, sf_dir), EVENT_GAP)
 
 
+@query
+def long_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases for sources longer than a task: by stretches of 50 tokens, so that even short ones are many."""
+    return sessions.phrases(event_tokens(spark, sf_dir), EVENT_GAP, 50)
+
+
 @query
 def explode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_tokens(spark, sf_dir)
@@ -155,6 +161,21 @@ def snap_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.snap(edges, marks)
 
 
+@query
+def long_snap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cut edges against the token edges, by stretches of two seconds."""
+    tokens, ranges = _ranges(spark, sf_dir)
+    edges = ranges.select("source", "ord", F.posexplode(F.array("start", "stop")).alias("edge", "at"))
+    return intervals.snap(edges, tokens.select("source", F.explode(F.array("start", "stop")).alias("at")), 2000)
+
+
+@query
+def long_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cues numbered by stretches of five seconds."""
+    tokens, ranges = _ranges(spark, sf_dir)
+    return cues.cues(ranges, tokens, BUCKET, 400, stretch=5000)
+
+
 @query
 def pad_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.pad_edges(_ranges(spark, sf_dir)[1], 50, 80, 30, 200)

@@ -47,7 +47,8 @@ def plain_phrases(tokens, gap):
     return out
 
 
-def test_phrases_equal_a_plain_walk(spark):
+@pytest.mark.parametrize("width", [None, 1, 3, 1000])
+def test_phrases_equal_a_plain_walk(spark, width):
     rng, rows, want = random.Random(4), [], {}
     for n in range(60):
         at, tokens = 0.0, []
@@ -59,7 +60,7 @@ def test_phrases_equal_a_plain_walk(spark):
         rows += [(str(n), i, *t) for i, t in enumerate(tokens)]
         want[str(n)] = plain_phrases(tokens, 0.5)
     got = {str(n): [] for n in range(60)}
-    for r in sessions.phrases(spark.createDataFrame(rows, TOKENS), 0.5).orderBy("source", "phrase_no").collect():
+    for r in sessions.phrases(spark.createDataFrame(rows, TOKENS), 0.5, width).orderBy("source", "phrase_no").collect():
         got[r["source"]].append((r["start"], r["stop"], r["speaker"], r["text"]))
     assert got == want
 
@@ -196,6 +197,37 @@ def test_long_source_snaps_in_linear_time(spark):
     assert wrong.where(f"at <= {10 * (n - 1)}").count() == 0
 
 
+@pytest.mark.parametrize("width", [None, 1, 7, 1000])
+def test_snapping_equals_a_search(spark, width):
+    rng = random.Random(5)
+    edges = [(s, rng.choice((None, *range(-40, 160))), i) for i, s in enumerate(rng.choices(("hot", "hot", "b", "bare"), k=80))]
+    marks = [(rng.choice(("hot", "hot", "b", "other")), rng.choice((None, *range(-50, 170)))) for _ in range(60)]
+    frames = spark.createDataFrame(edges, "source string, at int, n int"), spark.createDataFrame(marks, "source string, at int")
+    got = {r["n"]: r["snapped"] for r in intervals.snap(*frames, width).collect()}
+    near = lambda s, at: min((m for k, m in marks if k == s and m is not None), key=lambda m: (abs(m - at), m), default=None)
+    assert got == {n: None if at is None else near(s, at) for s, at, n in edges}
+
+
+@pytest.mark.parametrize("width", [None, 2, 50])
+def test_offsets_of_fractions_and_null_lists(spark, width):
+    rows = [(e, i, 0.25 * i, 0.25 * i + 0.5 * (i % 4)) for e in ("a", None) for i in range(9)]
+    got = {(r["edl_id"], r["ord"]): r["offset"] for r in intervals.offsets(spark.createDataFrame(rows, "edl_id string, ord int, start double, stop double"), width).collect()}
+    assert got == {(e, i): sum(0.5 * (k % 4) for k in range(i)) for e in ("a", None) for i in range(9)}
+
+
+def test_a_hot_source_is_many_tasks(spark):
+    """A third of all tokens, 30,000, in one source: no window of tokens holds more than a stretch or an island of it."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(90_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 1000).alias("source"), F.col("id").alias("pos"), F.lit("word").alias("type"), F.lit("a").alias("text"), (F.col("id") + F.floor(F.col("id") / 300) * 900).alias("start"))
+    tokens = rows.withColumns({"stop": F.col("start") + 1, "speaker": F.lit(None).cast("string")})
+    plan = sessions.phrases(tokens, 500, 1000)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "[pos#" in line]
+    assert windows and all(", stretch#" in line or ", island#" in line for line in windows)
+    got = sessions.phrases(tokens, 500, 1000).groupBy("source").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("letters")).where("source = -1").collect()[0]
+    assert (got["n"], got["letters"]) == (300, 2 * 30_000 - 300)
+
+
 def test_unlisted_source_stops_a_strict_read(spark, tmp_path):
     (tmp_path / "cut.json").write_text(json.dumps({"sources": {"B": "b.mp4", "A": "../a.mp4"}, "ranges": [{"source": "A", "start": 0, "end": 1}, {"source": "C", "start": 0, "end": 1}]}))
     edls = readers.read_edls(spark, str(tmp_path))
