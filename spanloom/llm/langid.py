@@ -10,10 +10,10 @@ Defined cases: a null text, or one without a letter, is ``und`` with score 0
 and not ambiguous; with no training rows every text is ``und``; with one
 language every text with a letter is that language with score 1; repeated rows
 get equal results, and of several texts of a doc_id and language the one that
-hashes lowest is learned from.  A text of more than 2^20 characters is counted
-in parts, cut at white space where there is any, so the n-grams across a cut
-are those of two texts.  An empty table gives no rows.  Columns named
-lang_pred, score or ambiguous are replaced; all others stay.
+hashes lowest is learned from.  A long text is counted in parts that overlap by
+what an n-gram reaches, so its counts are those of the whole.  An empty table
+gives no rows.  Columns named lang_pred, score or ambiguous are replaced; all
+others stay.
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sampling import first_by_hash, one_text
-from .vectors import U, code_points, groups, mix, pieces, slices
+from .sampling import one_text
+from .vectors import SEGMENT, U, code_points, groups, mix, slices
 
 UNKNOWN = "und"
 
@@ -37,10 +37,11 @@ UNKNOWN = "und"
 class LanguageConfig:
     bits: int = 12
     sizes: tuple[int, ...] = (1, 2, 3)
-    #: The most rows in all, about the most of one language, and the most languages (the commonest), to learn from.
+    #: The most rows in all, and of one language, to learn from.
     rows: int = 6000
     rows_per_language: int = 600
-    languages: int = 500
+    #: Parts that the ids of a language are dealt to, so that one spoken in most documents is many tasks.
+    deals: int = 256
     steps: int = 250
     rate: float = 40.0
     decay: float = 1e-5
@@ -72,6 +73,15 @@ def codewords(n: int, seed: int = 0) -> np.ndarray:
     return best
 
 
+def _grams(points: np.ndarray, bits: int, sizes: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each size of n-grams, and the bucket of the one that starts at each place."""
+    acc = np.zeros(len(points), U)
+    for n in range(1, max(sizes) + 1):
+        acc = acc[: max(0, len(points) - n + 1)] * U(0x9E3779B97F4A7C15) + points[n - 1 :]
+        if n in sizes and len(acc):
+            yield n, (mix(acc + U(n)) >> U(64 - bits)).astype(np.int64)
+
+
 def ngram_counts(texts: list[str], bits: int, sizes: tuple[int, ...]) -> np.ndarray:
     """Counts of hashed character n-grams of each text and three line ends after it, a row for each text."""
     lowered = [t.lower() for t in texts]
@@ -79,24 +89,30 @@ def ngram_counts(texts: list[str], bits: int, sizes: tuple[int, ...]) -> np.ndar
     ends = np.cumsum([len(t) + 3 for t in lowered])
     owner = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))[: len(points)]
     out = np.zeros(len(texts) << bits, np.int64)
-    acc = np.zeros(len(points), U)
-    for n in range(1, max(sizes) + 1):
-        acc = acc[: len(points) - n + 1] * U(0x9E3779B97F4A7C15) + points[n - 1 :]
-        if n in sizes and len(acc):
-            bucket = (mix(acc + U(n)) >> U(64 - bits)).astype(np.int64)
-            out += np.bincount((owner[: len(acc)] << bits) + bucket, minlength=len(out))
-            over = (ends[:-1, None] - np.arange(1, n)).ravel()  # grams that reach into the next text
-            np.subtract.at(out, (owner[over] << bits) + bucket[over], 1)
+    for n, bucket in _grams(points, bits, sizes):
+        out += np.bincount((owner[: len(bucket)] << bits) + bucket, minlength=len(out))
+        over = (ends[:-1, None] - np.arange(1, n)).ravel()  # grams that reach into the next text
+        np.subtract.at(out, (owner[over] << bits) + bucket[over], 1)
     return out.reshape(len(texts), 1 << bits)
 
 
+def long_counts(text: str, bits: int, sizes: tuple[int, ...], step: int = SEGMENT) -> np.ndarray:
+    """The counts of :func:`ngram_counts` for one text, by the n-grams that start in each part of ``step`` characters."""
+    whole = text.lower() + "\n\n\n"
+    out = np.zeros(1 << bits, np.int64)
+    for low in range(0, len(whole), step):
+        for _, bucket in _grams(code_points(whole[low : low + step + max(sizes) - 1]).astype(U), bits, sizes):
+            out += np.bincount(bucket[:step], minlength=len(out))
+    return out
+
+
 def _features(texts: list, bits: int, sizes: tuple[int, ...]) -> np.ndarray:
     """Square roots of relative frequencies: rows of length one."""
     out = np.zeros((len(texts), 1 << bits), np.float32)
     for i, text in enumerate(texts):
-        if text and len(text) > 1 << 20:
-            out[i] = sum(ngram_counts([part], bits, sizes)[0] for part in pieces(text))
-    short = [i for i, text in enumerate(texts) if not (text and len(text) > 1 << 20)]
+        if text and len(text) > SEGMENT:
+            out[i] = long_counts(text, bits, sizes)
+    short = [i for i, text in enumerate(texts) if not (text and len(text) > SEGMENT)]
     if short:
         out[short] = ngram_counts([texts[i] or "" for i in short], bits, sizes)
     return np.sqrt(out / np.maximum(out.sum(1, keepdims=True), 1))
@@ -172,19 +188,21 @@ class LanguageModel:
 def language_sample(docs: DataFrame, config: LanguageConfig = LanguageConfig()) -> DataFrame:
     """Texts and languages of a bounded sample of ``docs`` (doc_id, text, lang).
 
-    Every language gets about an equal part of ``rows`` (``rows_per_language``
-    at most): its ids are thinned by their hash to that share, so none is
-    dealt or ordered as a whole, and a rare one keeps all its ids.  Of what is
-    left at most ``rows`` ids are taken, each with one text.
+    The ids of a language are ranked by their hash, those of the first rank come
+    first, then those of the second, until there are ``rows`` of them, and at
+    most ``rows_per_language`` of one language.  So all languages are learned
+    (unless there are more than ``rows``), in parts as equal as they can be, and
+    a rare one keeps its ids.  Each id comes with one text.
+
+    Spark keeps the first ranks of a window before it shuffles; the ids of a
+    language are ranked in ``deals`` parts first, so no task meets all of them.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    listed = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(config.languages).collect()
-    each = max(32, min(config.rows_per_language, config.rows // max(1, len(listed))))
-    span = 1 << 30
-    shares = docs.sparkSession.createDataFrame([(r["lang"], each / r["n"]) for r in listed], "lang string, share double")
-    # at most ``languages`` rows, then at most ``rows``
-    thin = known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(config.seed)), F.lit(span)) < F.col("share") * span)
-    ids = first_by_hash(thin.select("doc_id", "lang").distinct(), "doc_id", config.rows)
+    each = config.rows_per_language
+    mark = F.xxhash64("doc_id", F.lit(config.seed))
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang").distinct().withColumn("mark", mark)
+    first = lambda rows, *by: rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", *by).orderBy("mark", "doc_id"))).where(F.col("rank") <= each)
+    dealt = first(known.withColumn("deal", F.pmod("mark", F.lit(config.deals))), "deal")
+    ids = first(dealt).orderBy("rank", "mark", "doc_id", "lang").limit(config.rows).select("doc_id", "lang")
     return one_text(docs.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]), "doc_id", "lang").select("text", "lang")
 
 

@@ -14,10 +14,9 @@ bias alone; rows are scored one by one, so repeated rows get equal scores;
 labels that are null are not learned from, of several labels of an id the least
 holds, and of several texts of an id the one that hashes lowest; with no
 labelled rows, or only one class, the model is the bias (0.5, or the one
-class).  A text of more than 2^20 characters is counted in parts, cut at white
-space where there is any: every word is counted, and the pairs and n-grams
-across a cut are those of two texts.  An empty table gives no rows.  A column
-named as the score is replaced; all others stay.
+class).  A long text is counted in parts that carry over what reaches across
+their ends, so its score is that of the whole.  An empty table gives no rows.
+A column named as the score is replaced; all others stay.
 """
 
 from __future__ import annotations
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .sampling import first_by_hash, one_text
 from .shared import discard, stored
-from .vectors import groups, pieces, slices, subwords
+from .vectors import SEGMENT, groups, long_subwords, slices, subwords
 
 
 @dataclass(frozen=True)
@@ -48,29 +47,13 @@ class QualityConfig:
     seed: int = 7
 
 
-def _parts(texts: list) -> Iterator[tuple[list[int], list[str]]]:
-    """Groups of (row, part of its text) of bounded size."""
-    for a, b in groups(texts):
-        rows, parts = [], []
-        for i in range(a, b):
-            for part in pieces(texts[i] or ""):
-                rows.append(i)
-                parts.append(part)
-                if len(part) > 1 << 18:  # a part of a very long text goes alone
-                    yield rows, parts
-                    rows, parts = [], []
-        if rows:
-            yield rows, parts
-
-
 def _count_subwords(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, counts, marks = [], [], []
             for text in batch["text"].to_pylist():
                 total = np.zeros(1 << bits, np.int64)
-                for part in pieces(text or ""):
-                    got, _ = subwords([part], bits)
+                for got in long_subwords(text, bits) if text and len(text) > SEGMENT else [subwords([text or ""], bits)[0]]:
                     total += np.bincount(got, minlength=1 << bits)
                 at = np.flatnonzero(total)
                 ids.append(at.astype("<i4").tobytes())
@@ -140,12 +123,16 @@ class QualityModel:
 
     def scores(self, texts: list) -> np.ndarray:
         total, number = np.zeros(len(texts)), np.zeros(len(texts))
-        for rows, parts in _parts(texts):
-            buckets, owner = subwords(parts, self.bits)
-            row = np.asarray(rows)
-            got = np.bincount(owner, self.weights[buckets], minlength=len(parts))
-            np.add.at(total, row, got)
-            np.add.at(number, row, np.bincount(owner, minlength=len(parts)))
+        for a, b in groups(texts):
+            part = [t or "" for t in texts[a:b]]
+            if len(part) == 1 and len(part[0]) > SEGMENT:
+                for got in long_subwords(part[0], self.bits):
+                    total[a] += self.weights[got].sum(dtype=np.float64)
+                    number[a] += len(got)
+                continue
+            buckets, owner = subwords(part, self.bits)
+            total[a:b] = np.bincount(owner, self.weights[buckets], minlength=len(part))
+            number[a:b] = np.bincount(owner, minlength=len(part))
         logit = self.bias + total / np.maximum(number, 1)
         return 1 / (1 + np.exp(-logit))
 

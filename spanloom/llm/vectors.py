@@ -119,6 +119,23 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def _grams(points: np.ndarray, space: np.ndarray, shift: U, sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Starts and buckets of the n-grams of each size without white space strictly inside."""
+    inner = np.zeros(len(points), bool)
+    acc = points.copy()
+    for n in range(2, max(sizes) + 1):
+        acc = acc[:-1] * U(_BASE) + points[n - 1 :]
+        inner = inner[:-1] | space[n - 2 : len(points) - 1] if n > 2 else inner[:-1]
+        if n in sizes:
+            at = np.flatnonzero(~inner)
+            yield at, mix(acc[at] + U(n)) >> shift
+
+
+def _pairs(words: np.ndarray) -> np.ndarray:
+    """Hashes of neighbours; a word that repeats the one before it makes the same pair whatever the word."""
+    return mix(np.where(words[1:] == words[:-1], U(2), words[:-1] * U(3) + words[1:]))
+
+
 def subwords(texts: list[str], bits: int, sizes: tuple[int, ...] = (3, 4, 5)) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words, pairs of words and character n-grams, and the text of each.
 
@@ -132,18 +149,9 @@ def subwords(texts: list[str], bits: int, sizes: tuple[int, ...] = (3, 4, 5)) ->
     points[space] = U(32)
     shift = U(64 - bits)
     buckets, owners = [], []
-    inner = np.zeros(len(points), bool)  # white space strictly inside the gram
-    acc = points.copy()
-    for n in range(2, max(sizes) + 1):
-        acc = acc[:-1] * U(_BASE) + points[n - 1 :]
-        if n > 2:
-            inner = inner[:-1] | space[n - 2 : len(points) - 1]
-        else:
-            inner = inner[:-1]
-        if n in sizes:
-            at = np.flatnonzero(~inner)
-            buckets.append(mix(acc[at] + U(n)) >> shift)
-            owners.append(at)
+    for at, bucket in _grams(points, space, shift, sizes):
+        buckets.append(bucket)
+        owners.append(at)
     edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
     starts, stops = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if len(starts):
@@ -152,21 +160,46 @@ def subwords(texts: list[str], bits: int, sizes: tuple[int, ...] = (3, 4, 5)) ->
         words = mix((total[stops] - total[starts]) * down[starts] + U(1))
         buckets.append(words >> shift)
         owners.append(starts)
-        # pairs of neighbours; a word that repeats the one before it makes the same pair whatever the word
         same = np.searchsorted(ends, starts[1:], "right") == np.searchsorted(ends, starts[:-1], "right")
-        pairs = np.where(words[1:] == words[:-1], U(2), words[:-1] * U(3) + words[1:])
-        buckets.append(mix(pairs[same]) >> shift)
+        buckets.append(_pairs(words)[same] >> shift)
         owners.append(starts[1:][same])
     owner = np.searchsorted(ends, np.concatenate(owners), "right")
     return np.concatenate(buckets).astype(np.int64), np.minimum(owner, len(texts) - 1)
 
 
-def pieces(text: str, limit: int = SEGMENT) -> Iterator[str]:
-    """A long text in parts, cut at white space where there is any."""
-    at = 0
-    while len(text) - at > limit:
-        cut = max(text.rfind(" ", at, at + limit), text.rfind("\n", at, at + limit))
-        cut = cut if cut > at else at + limit
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
+def long_subwords(text: str, bits: int, sizes: tuple[int, ...] = (3, 4, 5), step: int = SEGMENT) -> Iterator[np.ndarray]:
+    """The buckets that :func:`subwords` gives for one text, a part of ``step`` characters at a time.
+
+    The characters that an n-gram reaches over the end of a part, the hash of a
+    word that is not yet over and the last whole word are carried along, so the
+    parts together are the whole text's, also where a word is longer than a part.
+    """
+    shift = U(64 - bits)
+    begun, length, last = 0, 0, np.empty(0, U)  # of the open word: its hash so far and its length
+    for low in range(-1, len(text) + 1, step):
+        points = code_points((" " if low < 0 else "") + text[max(low, 0) : low + step + max(sizes) - 1] + " ").astype(U)
+        points = points[: min(step + max(sizes) - 1, len(text) + 1 - low)]
+        space = _SPACE[points.astype(np.int64)]
+        points[space] = U(32)
+        for at, bucket in _grams(points, space, shift, sizes):
+            yield bucket[at < step].astype(np.int64)
+        own, gap = points[:step], space[:step]
+        edge = np.diff(np.concatenate(([True], gap, [True])).astype(np.int8))
+        starts, stops = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        up, down = _power_tables(len(own))
+        total = np.concatenate((np.zeros(1, U), np.cumsum((own + U(1)) * up[: len(own)])))
+        raw = (total[stops] - total[starts]) * down[starts] if len(starts) else np.empty(0, U)
+        if length and len(starts) and starts[0] == 0:
+            raw[0] = U((begun + int(raw[0]) * pow(_BASE, length, 2**64)) % 2**64)
+            length += int(stops[0])
+        elif length:
+            raw, length = np.concatenate((np.array([begun], U), raw)), 0
+        if len(stops) and stops[-1] == len(own):
+            begun, length, raw = int(raw[-1]), length if starts[-1] == 0 and length else int(stops[-1] - starts[-1]), raw[:-1]
+        else:
+            length = 0
+        words = mix(raw + U(1))
+        yield (words >> shift).astype(np.int64)
+        both = np.concatenate((last, words))
+        yield (_pairs(both) >> shift).astype(np.int64)
+        last = both[-1:]

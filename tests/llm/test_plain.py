@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spanloom.llm import ann, langid, minhash, mixing, quality, queries, rules, secrets, sharding
 from spanloom.llm.sampling import remainder
 from spanloom.llm.shared import scratch
+from spanloom.llm.vectors import long_subwords, subwords
 
 from . import brute
 from .test_secrets import planted
@@ -53,6 +54,35 @@ def test_rare_languages_stay_in_the_sample(spark):
     assert len(got) == 41 and sum(r["count"] for r in got) <= 2000
 
 
+def test_all_of_many_languages_are_learned(spark):
+    """600 languages, one of them a third of all rows and others of three rows: each in the sample, the rare ones whole."""
+    rows = [(i, f"text {i}", "hot" if i % 3 == 0 else f"l{i % 500:03d}") for i in range(9000)] + [(20_000 + i, f"rare {i}", f"r{i % 99:02d}") for i in range(297)]
+    sample = langid.language_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), langid.LanguageConfig(rows=3000)).groupBy("lang").count().collect()
+    got = {r["lang"]: r["count"] for r in sample}
+    assert set(got) == {r[2] for r in rows} and sum(got.values()) == 3000
+    assert all(got[f"r{i:02d}"] == 3 for i in range(99)) and max(got.values()) - min(n for k, n in got.items() if k[0] == "l") <= 1
+
+
+@pytest.mark.parametrize("step", [5, 6, 7, 64, 1000])
+def test_long_texts_are_counted_as_wholes(step):
+    words = [w for t in ODD for w in t.split(" ")]
+    texts = [*ODD, "x", "same same same", "a\tbcd  efg\u2003h" * 9, "abcdefghij" * 30 + " z " + "q" * 64, " " * 70, "\u0130\u03a3 " * 20, " ".join(words * 3)]
+    for text in texts:
+        want = np.bincount(subwords([text], 12)[0], minlength=1 << 12)
+        got = sum(np.bincount(x, minlength=1 << 12) for x in long_subwords(text, 12, step=step))
+        assert (got == want).all(), (step, text)
+        assert (langid.long_counts(text, 10, (1, 2, 3), step) == langid.ngram_counts([text], 10, (1, 2, 3))[0]).all(), (step, text)
+
+
+def test_a_text_of_a_million_and_a_half_scores_as_a_whole():
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 5000, 150_000)) + "solid" * 200_000 + " end"
+    model = quality.QualityModel(rng.normal(size=1 << 14).astype(np.float32), 0.1, 14)
+    buckets = subwords([text], 14)[0]
+    logit = 0.1 + model.weights[buckets].sum(dtype=np.float64) / len(buckets)
+    assert len(text) > 3 << 19 and model.scores(["a b", text, None])[1] == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-9)
+
+
 def test_rules_verdict_equals_counting(spark, sf_dir, docs):
     good = {r["doc_id"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").collect()}
     want = brute.rule_verdicts([(r["doc_id"], r["text"]) for r in docs.collect()], good, rules.RulesConfig())
