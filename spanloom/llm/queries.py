@@ -124,6 +124,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_minhash": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i : i + 2], ' ')) END) AS g FROM w),
+sized AS (SELECT doc_id, g, count(*) OVER (PARTITION BY doc_id) AS n FROM sets),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, a.n + b.n - count(*) AS either, count(*) AS shared FROM sized a JOIN sized b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n GROUP BY a.doc_id, b.doc_id, a.n, b.n),
+links AS (SELECT u, v FROM pairs WHERE 100 * shared >= 85 * either),
+steps AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (SELECT u AS doc_id, v AS other FROM steps UNION SELECT reach.doc_id, steps.v FROM reach JOIN steps ON steps.u = reach.other),
+least_of AS (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id, w.doc_id = least(w.doc_id, coalesce(low, w.doc_id)) AS kept
+FROM w LEFT JOIN counts USING (doc_id) LEFT JOIN least_of USING (doc_id)""",
     "op10_substring": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20),

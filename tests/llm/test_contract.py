@@ -149,3 +149,10 @@ def test_substrings_equal_sql(spark, sf_dir):
 
     df = queries.op10_substring(spark, sf_dir)
     assert rows_of(df.columns, df.collect()) == sql_rows(sf_dir, queries.ORACLE_SQL["op10_substring"])
+
+
+def test_near_copies_equal_sql(spark, sf_dir):
+    from tests.compare import rows_of, sql_rows
+
+    df = queries.op6_minhash(spark, sf_dir)
+    assert rows_of(df.columns, df.collect()) == sql_rows(sf_dir, queries.ORACLE_SQL["op6_minhash"])
