@@ -44,6 +44,16 @@ def test_values_follow_their_needs(spark):
     assert {k for k, v in got.items() if v[2]} == {"p", "q", "behind"} and got["lost"][0] is None and got["lost"][3]
 
 
+def test_values_of_many_ways_need_no_rows_for_each(spark):
+    """Ladders of 40 steps have 2^40 ways down, beyond any limit of rows; every flag beside them."""
+    own = [(f"s{i}", 1) for i in range(41)] + [("a", 1), ("b", 1), ("c", 1), ("d", 1), (None, 3)]
+    needs = [(f"s{i}", f"s{i - 1}", 1) for i in range(1, 41) for _ in range(2)] + [("a", "x", 1), ("x", "y", 1), ("y", "x", 1), ("b", "a", 1), ("c", "c", 1), ("c", "d", 1), ("d", "gone", 1)]
+    frames = spark.createDataFrame(own, "name string, own long"), spark.createDataFrame(needs, "name string, needs string, weight long")
+    got = {r["name"]: (r["value"], r["level"], r["cyclic"], r["missing"]) for r in reactive.reactive_values(*frames).collect()}
+    assert all(got[f"s{i}"] == (2 ** (i + 1) - 1, i, False, False) for i in range(41))
+    assert got["a"] == got["b"] == got["c"] == (None, None, True, True) and got["d"] == (None, 1, False, True) and got[None] == (None, 0, False, True)
+
+
 @pytest.mark.parametrize("width", [4, 1000])
 def test_trails_and_lagged_starts(spark, width):
     rng = random.Random(width)
