@@ -64,7 +64,7 @@ def snap(edges: DataFrame, boundaries: DataFrame, width: float | None = None) ->
     snaps to nothing.
     """
     names = [c for c in edges.columns if c not in ("source", "at")]
-    marks = boundaries.where("at is not null").select("source", "at", *[F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in names], F.col("at").alias("mark")).distinct()
+    marks = boundaries.where("at is not null").select("source", "at", *[F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in names], F.col("at").alias("mark"))
     both = edges.select("source", "at", *names, F.lit(None).cast(edges.schema["at"].dataType).alias("mark")).unionByName(marks)
     both = both if width is None else both.withColumn("stretch", F.floor(F.col("at") / width))
     by = Window.partitionBy("source") if width is None else Window.partitionBy("source", "stretch")

@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` dealt by ``by`` to as many partitions as the session sets for shuffles.
+
+    Words shrink to a few bytes when they are shuffled, so what is read tells
+    little of a task's memory, and partitions may not be joined by it.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), by)
+
+
 def conversation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of each conversation, spoken at a fixed pace (with the column turn)."""
     words = F.filter(F.split("text", "[ \t-\r]+"), lambda w: w != "")
@@ -23,6 +32,7 @@ def conversation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.substring("text", -1, 1)
     rows = rows.withColumn("length", 60 * F.length("text")).withColumn("step", F.col("length") + F.when(last.isin(".", "!", "?"), 600).when(last.isin(",", ";", ":"), 250).otherwise(40))
     order = Window.partitionBy("source").orderBy("turn", "i")
+    rows = dealt(rows, "source")
     start = F.coalesce(F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
     return rows.select("source", F.row_number().over(order).alias("pos"), F.lit("word").alias("type"), "text", start.alias("start"), (start + F.col("length")).alias("stop"), "speaker", "turn")
 

@@ -271,3 +271,11 @@ def test_report_of_a_silent_source(spark):
     sources = spark.createDataFrame([("a",), ("b",)], "source string")
     lines = sessions.report_lines(sources, sessions.phrases(tokens, 0.5), 0.5).orderBy("source", "line_no").collect()
     assert [r.line for r in lines[5:]] == ["## a  (duration: 3.5s, 2 phrases)", "  [000.00-001.00] S0 hi", "  [002.00-003.50] S0 there", "", "## b  (duration: 0.0s, 0 phrases)", "  _no speech detected_", ""]
+
+
+def test_tokens_stay_in_as_many_tasks_as_the_session_sets(spark, sf_dir):
+    """Words shrink so far that partitions joined by what is read would be one task here."""
+    from spanloom.plans.queries import QUERIES
+
+    for name in ("snap_asof",):
+        assert QUERIES[name](spark, sf_dir).select(F.spark_partition_id()).distinct().count() > 2, name
