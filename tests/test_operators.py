@@ -277,5 +277,12 @@ def test_tokens_stay_in_as_many_tasks_as_the_session_sets(spark, sf_dir):
     """Words shrink so far that partitions joined by what is read would be one task here."""
     from spanloom.plans.queries import QUERIES
 
-    for name in ("snap_asof",):
+    for name in ("snap_asof", "phrases"):
         assert QUERIES[name](spark, sf_dir).select(F.spark_partition_id()).distinct().count() > 2, name
+
+
+def test_turns_of_tokens_stay_in_many_tasks(spark, sf_dir):
+    """What interval sets and snapping by stretches are made of."""
+    from spanloom.sources.tables import conversation_tokens, turns
+
+    assert turns(conversation_tokens(spark, sf_dir)).select(F.spark_partition_id()).distinct().count() > 2
