@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .stretches import running
 
 
+def _word() -> Column:
+    return F.lower(F.regexp_replace("text", "[.,!?;:]+$", ""))
+
+
 def spoken_words(tokens: DataFrame) -> DataFrame:
     """source, pos, text and word: the words of ``tokens`` that are not blank, in lower case without a mark at the end."""
-    word = F.lower(F.regexp_replace("text", "[.,!?;:]+$", ""))
-    return tokens.where("type = 'word'").select("source", "pos", "text", word.alias("word")).where("word <> ''")
+    return tokens.where("type = 'word'").select("source", "pos", "text", _word().alias("word")).where("word <> ''")
 
 
 def false_starts(tokens: DataFrame, longest: int = 4, width: int = 4096) -> DataFrame:
@@ -25,9 +28,10 @@ def false_starts(tokens: DataFrame, longest: int = 4, width: int = 4096) -> Data
     over their ends, so a long source is many tasks; only runs that overlap are
     walked through, one chain of them at a time.
     """
-    numbered = running(spoken_words(tokens), ["source"], "pos", width, sums={"k": F.lit(1)})
+    # only the text moves, and the word is made of it again: so all that is read twice is moved once
+    numbered = running(spoken_words(tokens).drop("word"), ["source"], "pos", width, sums={"k": F.lit(1)})
     near = F.sequence(F.floor((F.col("k") - 2 * longest) / width), F.floor((F.col("k") + longest) / width))
-    dealt = numbered.withColumn("stretch", F.explode(near))
+    dealt = numbered.withColumn("stretch", F.explode(near)).repartition("source", "stretch").withColumn("word", _word())
     order = Window.partitionBy("source", "stretch").orderBy("k")
     same = [F.coalesce(F.col("word") == F.lead("word", n).over(order), F.lit(False)).cast("int") for n in range(1, longest + 1)]
     rows = dealt.withColumns({f"same{n}": c for n, c in enumerate(same, 1)})
@@ -37,7 +41,7 @@ def false_starts(tokens: DataFrame, longest: int = 4, width: int = 4096) -> Data
     rows = rows.withColumn("fresh", F.coalesce(F.col("k") >= reach, F.lit(True)))
     found = rows.where((F.col("stretch") == F.floor(F.col("k") / width)) & F.col("length").isNotNull())
     # runs that overlap follow the last one that begins afresh
-    found = running(found.select("source", "k", "pos", "length", F.array_join(F.slice("ahead", 1, F.col("length")), " ").alias("said"), "fresh"), ["source"], "k", width, maxima={"chain": F.when(F.col("fresh"), F.col("k"))})
+    found = running(found.select("source", "k", "pos", "length", F.array_join(F.slice("ahead", 1, F.col("length")), " ").alias("said"), "fresh"), ["source"], "pos", width, maxima={"chain": F.when(F.col("fresh"), F.col("k"))})
     chains = found.groupBy("source", "chain").agg(F.sort_array(F.collect_list(F.struct("k", "pos", "length", "said"))).alias("runs"))
     none = F.struct(F.lit(0).cast("long").alias("upto"), F.slice("runs", 1, 0).alias("taken"))
     step = lambda acc, run: F.when(run["k"] >= acc["upto"], F.struct((run["k"] + run["length"]).alias("upto"), F.concat(acc["taken"], F.array(run)).alias("taken"))).otherwise(acc)
