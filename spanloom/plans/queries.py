@@ -460,7 +460,9 @@ def block_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mended(spark: SparkSession, sf_dir: str) -> repairs.Repaired:
     """Every fifth range reaches outside of its source, others are cut in mid-word; overlays last a minute."""
-    tokens, ranges = _ranges(spark, sf_dir)
+    # ranges, overlays, lengths and words are all made of the tokens, which are found once
+    tokens = conversation_tokens(spark, sf_dir).select("source", "turn", "speaker", "start", "stop").persist()
+    ranges = conversation_ranges(tokens)
     lengths = tokens.groupBy("source").agg(F.max("stop").alias("length"))
     early, later = F.when(F.col("ord") % 5 == 0, 20_000).otherwise(0), F.when(F.col("ord") % 5 == 4, 90_000).otherwise(0)
     planted = ranges.withColumns({"start": F.col("start") - early, "stop": F.col("stop") + later})

@@ -82,3 +82,11 @@ def test_planted_faults_are_mended_and_the_rest_reported(spark):
     assert sorted((r["z"], r["start"]) for r in done.overlays.collect()) == [(0, 0), (1, 100), (2, 200), (3, 5000)]
     assert {(r["part"], r["no"], r["kind"]) for r in done.left.collect()} == {("range", 3, "empty"), ("overlay", 3, "late")}
     done.release()
+
+
+def test_edges_meet_words_by_stretches(spark):
+    """An edge far behind the last word's stretch, one at a word's start, one before all, one without a time."""
+    words = repair.dealt_words(spark.createDataFrame([("s", 100, 900), ("s", 10, 20)], "source string, start long, stop long"), 50)
+    edges = spark.createDataFrame([("s", 500, 1), ("s", 100, 2), ("s", 5, 3), ("s", None, 4), ("s", 901, 5), ("t", 15, 6), ("s", 15, 7)], "source string, at long, n int")
+    got = {r["n"]: (r["word_start"], r["word_stop"]) for r in repair.word_at(edges, words).collect()}
+    assert got == {1: (100, 900), 7: (10, 20)} | {n: (None, None) for n in (2, 3, 4, 5, 6)}
