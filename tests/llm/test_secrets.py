@@ -98,3 +98,15 @@ def test_too_few_findings_add_nothing():
     x = rng.integers(1, 90, (200, config.inside + 2 * config.around)).astype(np.uint8)
     y = (np.arange(200) < 40).astype(np.float32)
     assert secrets.CharCNN(config).fit(x, y).threshold == np.inf
+
+
+def test_every_token_is_learned_from(spark):
+    words = [f"word{i:05d}" for i in range(3000)]
+    docs = spark.createDataFrame([(i % 7, " ".join(words[i::2]) + f" token = abcdefgh{i}") for i in (0, 1)] + [(None, "without_an_id"), (3, None)], "doc_id long, text string")
+    config = secrets.SecretConfig(part=500, positives=2)
+    findings = secrets.labelled_findings(docs, config)
+    assert {(r["y"], r["inside"]) for r in findings.collect()} == {(0, w) for w in [*words, "without_an_id"]} | {(1, f"abcdefgh{i}") for i in (0, 1)}
+    rows = secrets.parts(secrets.coded(findings, config), config).collect()
+    kept = [(y, x) for r in rows for y, x, first in zip(np.frombuffer(r["y"], np.int8), np.frombuffer(r["x"], np.uint8).reshape(r["n"], -1), np.frombuffer(r["first"], bool), strict=True) if first]
+    assert len(rows) == 6 and len(kept) == 3003 and len({x.tobytes() for _, x in kept}) == 3003 and sum(y for y, _ in kept) == 2
+    assert all(np.frombuffer(r["y"], np.int8).any() for r in rows)  # findings are dealt to every part
