@@ -64,11 +64,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # runs of 16 characters at least
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "model")
 
-#: Whatever the patterns or a candidate need, for a quick look at whole batches.
-_ANY = rf"(?i:password|passwd|secret|token|api_?key)|[A-Za-z0-9+/_=-]{{{ASSIGN_LEAST}}}"
+#: What any base finding matches (and a little more: capitals are folded beyond ASCII), for a quick look at whole batches.
+_BASE = rf"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{{{ASSIGN_LEAST}}})|AKIA[A-Z0-9]{{12}}|[0-9a-f]{{32}}"""
 _TOKEN = re.compile(rf"[A-Za-z0-9+/_=-]{{{ASSIGN_LEAST},}}")
-#: What is learned beside the candidates.
-_RUN = re.compile(r"\S{12,}")
+#: Characters of a run without a space that is learned beside the candidates.
+_RUN_LEAST = 12
 
 
 @dataclass(frozen=True)
@@ -106,20 +106,27 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
-    """Tokens that touch no base finding; ``base`` is sorted by start."""
-    return list(each_candidate(text, base))
+def base_of(texts: pa.Array) -> list[list[Span]]:
+    """The base findings in each text."""
+    maybe = pc.fill_null(pc.match_substring_regex(texts, _BASE), False)
+    rows = np.flatnonzero(maybe.to_numpy(zero_copy_only=False))
+    out: list[list[Span]] = [[] for _ in range(len(texts))]
+    for i, text in zip(rows.tolist(), texts.take(pa.array(rows)).to_pylist(), strict=True):
+        out[i] = base_spans(text)
+    return out
 
 
-def each_candidate(text: str, base: list[Span], token: re.Pattern = _TOKEN) -> Iterator[tuple[int, int]]:
-    k = last = 0
-    for m in token.finditer(text):
+def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
+    """Tokens that touch no base finding; ``base`` is sorted by start."""
+    out, k, last = [], 0, 0
+    for m in _TOKEN.finditer(text):
         start, end = m.span()
         while k < len(base) and base[k][0] < end:
             last = max(last, base[k][1])
             k += 1
         if last <= start:
-            yield start, end
+            out.append((start, end))
+    return out
 
 
 _CLASSES = 99  # 95 printable ASCII characters, other, white space, edge, long
@@ -155,6 +162,56 @@ def _codes(text: str) -> np.ndarray:
     return _CODES[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), len(_CODES) - 1)]
 
 
+#: Of each code: whether tokens have it, and whether it is neither white space nor an edge.
+_IN_TOKEN = np.array([c < 95 and _TOKEN.fullmatch(chr(c + 32) * ASSIGN_LEAST) is not None for c in range(_CLASSES)], bool)
+_IN_RUN = np.arange(_CLASSES) < 97
+
+
+class Joined:
+    """The codes of many texts in one row, edges between them, so that what surrounds any token of a text is a slice."""
+
+    def __init__(self, texts: list[str], base: list[list[Span]], config: SecretConfig):
+        self.config, edges = config, max(config.around, config.inside)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        #: Where each text begins.
+        self.first = np.cumsum(np.concatenate(([0], sizes[:-1]))) + edges * (1 + np.arange(len(texts))) if texts else np.zeros(0, np.int64)
+        self.codes = np.full(int(sizes.sum()) + edges * (len(texts) + 1), 98, np.uint8)
+        for text, at in zip(texts, self.first.tolist(), strict=True):
+            self.codes[at : at + len(text)] = _codes(text)
+        spans = np.array([(at + s, at + e) for at, own in zip(self.first.tolist(), base, strict=True) for s, e, _ in own], np.int64).reshape(-1, 2)
+        #: Starts of the base findings, and the last end of all up to each.
+        self.starts, self.ends = spans[:, 0], np.maximum.accumulate(np.concatenate(([0], spans[:, 1])))
+
+    def tokens(self, kind: np.ndarray = _IN_TOKEN, least: int = ASSIGN_LEAST) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the longest runs of ``least`` or more codes of a kind that touch no base finding."""
+        turns = np.flatnonzero(np.diff(kind[self.codes])) + 1
+        start, end = turns[::2], turns[1::2]
+        some = end - start >= least
+        start, end = start[some], end[some]
+        free = self.ends[np.searchsorted(self.starts, end)] <= start
+        return start[free], end[free]
+
+    def texts_of(self, start: np.ndarray) -> np.ndarray:
+        """The number of the text that each token is in."""
+        return np.searchsorted(self.first, start, "right") - 1
+
+    def inside(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Codes of the tokens, edges after a short one, the two ends of a long one."""
+        size, half = self.config.inside, self.config.inside // 2
+        rows = np.lib.stride_tricks.sliding_window_view(self.codes, size)
+        out = rows[start]
+        out[np.arange(size) >= (end - start)[:, None]] = 98
+        long = np.flatnonzero(end - start > size)
+        out[long, half:] = 98
+        out[long, half : 2 * half] = rows[end[long] - half][:, :half]
+        return out
+
+    def rows(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """As ``encoded``, of many tokens."""
+        beside = np.lib.stride_tricks.sliding_window_view(self.codes, self.config.around)
+        return np.concatenate((beside[start - self.config.around], self.inside(start, end), beside[end]), 1)
+
+
 def encoded_rows(codes: np.ndarray, at: np.ndarray, config: SecretConfig) -> np.ndarray:
     """As ``encoded``, of many candidates: rows of the text's start and end and the candidate's in ``codes``."""
     low, high, start, end = (c[:, None] for c in at.T)
@@ -167,10 +224,22 @@ def encoded_rows(codes: np.ndarray, at: np.ndarray, config: SecretConfig) -> np.
     return np.where(known, codes[np.where(known, places, 0)], np.uint8(98))
 
 
-def _shape(codes: np.ndarray) -> bytes:
-    """The kinds of characters of an encoded token (digits, small letters, capitals, others), each run of one kind as one."""
-    kinds = _KINDS[codes[codes < _KINDS_END]]
-    return kinds[np.diff(kinds, prepend=255) != 0].tobytes()
+def _shapes(rows: np.ndarray) -> list[bytes]:
+    """Of each encoded token the kinds of its characters (digits, small letters, capitals, others), each run of one kind as one."""
+    kinds = np.append(_KINDS, np.full(_CLASSES - _KINDS_END, 255, np.uint8))[rows]
+    begins = kinds != 255
+    begins[:, 1:] &= kinds[:, 1:] != kinds[:, :-1]
+    data, ends = kinds[begins].tobytes(), np.cumsum(begins.sum(1)).tolist()
+    return [data[i:j] for i, j in itertools.pairwise([0, *ends])]
+
+
+def _sums(each: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """What the characters of every window of ``z`` (places, rows) add up to: places, rows, filters."""
+    n = len(z) - len(each) + 1
+    out = each[0].take(z[:n], 0)
+    for j in range(1, len(each)):
+        out += each[j].take(z[j : j + n], 0)
+    return out
 
 
 class CharCNN:
@@ -193,35 +262,64 @@ class CharCNN:
         self.tables = None  # what logits() makes of the weights
 
     def _forward(self, x: np.ndarray):
-        w = self.config.width
-        vectors = self.table[x]  # rows, places, dim
-        places = np.lib.stride_tricks.sliding_window_view(vectors, w, axis=1).swapaxes(2, 3).reshape(len(x), -1, self.kernel.shape[0])
-        hidden = np.maximum(places @ self.kernel + self.shift, 0)
-        a, b = self.config.around, self.config.around + self.config.inside - w + 1
-        inner, outer = hidden[:, a:b], np.concatenate((hidden[:, :a], hidden[:, b:]), 1)
-        top = np.concatenate((inner.max(1), outer.max(1)), 1)
-        at_outer = outer.argmax(1)
-        at = np.concatenate((inner.argmax(1) + a, np.where(at_outer < a, at_outer, at_outer + b - a)), 1)
-        return places, top, at, top @ self.out + self.bias
+        """The codes by places, the greatest value of each filter in the candidate and in its context, the place of each, and the logits."""
+        each, z, filters = self._each(), np.ascontiguousarray(x.T).astype(np.intp), self.config.filters
+        hidden, (a, b) = _sums(each, z), self._bounds
+        # places count down, so that of equal values the first one counts
+        down = np.arange(len(hidden), 0, -1).astype(np.uint16)[:, None, None]
+        inner, outer = hidden[a:b].max(0), np.maximum(hidden[:a].max(0), hidden[b:].max(0))
+        first = lambda top, *parts: np.maximum.reduce([((hidden[k] == top) * down[k]).max(0) for k in parts])
+        at = np.concatenate((first(inner, slice(a, b)), first(outer, slice(a), slice(b, None))), 1)
+        top = np.maximum(np.concatenate((inner, outer), 1) + np.concatenate((self.shift, self.shift)), 0)
+        return z, top, len(hidden) - at.astype(np.intp), top @ self.out + self.bias
+
+    @property
+    def _bounds(self) -> tuple[int, int]:
+        """The windows of the kernel that lie in the candidate."""
+        return self.config.around, self.config.around + self.config.inside - self.config.width + 1
+
+    def _each(self) -> np.ndarray:
+        """What a character adds at each place of the kernel."""
+        return self.table @ self.kernel.reshape(self.config.width, self.dim, -1)
+
+    def _tops(self, x: np.ndarray) -> np.ndarray:
+        """The greatest value of each filter over the windows of ``x``, without the shift."""
+        return _sums(self.tables, np.ascontiguousarray(x.T).astype(np.intp)).max(0)
+
+    def _inner(self, inside: np.ndarray) -> np.ndarray:
+        """What the candidates themselves, without their context, add to the logits."""
+        self.tables = self._each() if self.tables is None else self.tables
+        size, out = (inside != 98).sum(1), np.empty(len(inside), np.float32)
+        order = np.argsort(size, kind="stable")
+        for i in range(0, len(order), 64):
+            rows = order[i : i + 64]
+            # all windows behind the end are equal: one is looked at
+            top = self._tops(inside[rows, : size[rows[-1]] + self.config.width])
+            out[rows] = np.maximum(top + self.shift, 0) @ self.out[: self.config.filters]
+        return out
+
+    def _outer(self, x: np.ndarray) -> np.ndarray:
+        """What the context adds to the logits."""
+        self.tables = self._each() if self.tables is None else self.tables
+        (a, b), out = self._bounds, np.empty(len(x), np.float32)
+        for i in range(0, len(x), 64):
+            top = np.maximum(self._tops(x[i : i + 64, : a + self.config.width - 1]), self._tops(x[i : i + 64, b:]))
+            out[i : i + 64] = np.maximum(top + self.shift, 0) @ self.out[self.config.filters :]
+        return out
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        """Places first, by tables of what one or two characters at a place of the kernel add."""
-        w, a, b = self.config.width, self.config.around, self.config.around + self.config.inside - self.config.width + 1
-        if self.tables is None:
-            each = [self.table @ k for k in self.kernel.reshape(w, -1, self.config.filters)]
-            self.tables = [(each[j][:, None] + each[j + 1]).reshape(-1, self.config.filters) for j in range(0, w - 1, 2)], each[-1]
-        pairs, single = self.tables
-        out = np.empty(len(x), np.float32)
-        for i in range(0, len(x), 128):
-            z = np.ascontiguousarray(x[i : i + 128].T).astype(np.intp)
-            two, n = z[:-1] * _CLASSES + z[1:], len(z) - w + 1
-            hidden = np.zeros((n, z.shape[1], self.config.filters), np.float32)
-            for j, table in enumerate(pairs):
-                hidden += table.take(two[2 * j : 2 * j + n], 0)
-            if w % 2:
-                hidden += single.take(z[w - 1 :], 0)
-            top = np.concatenate((hidden[a:b].max(0), np.maximum(hidden[:a].max(0), hidden[b:].max(0))), 1)
-            out[i : i + 128] = np.maximum(top + np.tile(self.shift, 2), 0) @ self.out + self.bias
+        a = self.config.around
+        return self._inner(x[:, a : a + self.config.inside]) + self._outer(x) + self.bias
+
+    def reach(self, inside: np.ndarray, whole: Callable[[np.ndarray], np.ndarray], bound: float) -> np.ndarray:
+        """Which logits are at or above ``bound``; ``whole`` gives the codes with the context of rows of ``inside``.
+
+        The context is looked at only where the most that any could add would do.
+        """
+        out, own = np.zeros(len(inside), bool), self._inner(inside) + self.bias
+        most = np.maximum(self.tables.max(1).sum(0) + self.shift, 0) @ np.maximum(self.out[self.config.filters :], 0)
+        rows = np.flatnonzero(own + most * 1.001 + 0.001 >= bound)
+        out[rows] = own[rows] + self._outer(whole(rows)) >= bound
         return out
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -247,23 +345,25 @@ class CharCNN:
         sure, rest = order(len(positive), config.sure), order(len(other), config.others)
         y = np.repeat(np.float32([1, 0]), [config.sure, config.others])
         mass = np.repeat(np.float32([0.5 / config.sure, 0.5 / config.others]), [config.sure, config.others])
-        row = np.arange(len(y))
+        # bins of place in the kernel, character and filter
+        place, filter_ = np.arange(w)[:, None], np.tile(np.arange(filters), 2)
+        to = place * _CLASSES * filters + filter_
         for step in range(steps):
             rate = np.float32(4 * config.rate * (1 - begin - (end - begin) * step / steps))
             x = np.concatenate((positive[sure[step * config.sure : (step + 1) * config.sure]], other[rest[step * config.others : (step + 1) * config.others]]))
-            places, top, at, logit = self._forward(x)
+            z, top, at, logit = self._forward(x)
             error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - y) * mass
             back = error[:, None] * self.out * (top > 0)
-            picked = places[row[:, None], at]  # rows, 2 * filters, width * dim
-            change = np.matmul(back.T[:, None], picked.swapaxes(0, 1))[:, 0]  # 2 * filters, width * dim
-            to_table = back[:, :, None] * np.concatenate((self.kernel, self.kernel), 1).T
-            seen = x[row[:, None, None], at[:, :, None] + np.arange(w)].ravel()
-            to_table = to_table.reshape(-1, self.dim)
+            row, of = np.nonzero(back)
+            bins = z[at[row, of] + place, row] * filters + to[:, of]
+            each = np.bincount(bins.ravel(), np.tile(back[row, of], w), w * _CLASSES * filters).reshape(w, _CLASSES, filters).astype(np.float32)
+            to_kernel = (self.table.T @ each).reshape(self.kernel.shape)
+            to_table = (each @ self.kernel.reshape(w, self.dim, filters).swapaxes(1, 2)).sum(0)
             self.out = self.out - rate * (error @ top)
             self.bias = np.float32(self.bias - rate * error.sum())
-            self.kernel = self.kernel - rate * (change[:filters] + change[filters:]).T
+            self.kernel = self.kernel - rate * to_kernel
             self.shift = self.shift - rate * (back[:, :filters] + back[:, filters:]).sum(0)
-            self.table = self.table - rate * np.stack([np.bincount(seen, to_table[:, d], _CLASSES) for d in range(self.dim)], 1).astype(np.float32)
+            self.table = self.table - rate * to_table
         self.tables = None
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> CharCNN:
@@ -272,7 +372,7 @@ class CharCNN:
         inner = x[:, config.around : config.around + config.inside]
         h = np.array([zlib.crc32(row.tobytes()) for row in inner], np.int64)
         held = h < np.where(y == 1, *[_held_below(int((y == k).sum()), np.sort(h[y == k])) for k in (1, 0)])
-        shapes = [_shape(row) for row in inner]
+        shapes = _shapes(inner)
         times = Counter(itertools.compress(shapes, ~held & (y == 0)))
         sure = set(itertools.compress(shapes, ~held & (y == 1)))
         common = np.array([times[k] >= config.recurs and k not in sure for k in shapes], bool)
@@ -288,7 +388,7 @@ class CharCNN:
         # each half is judged, beside its positives, by what was trained on the other one
         judges, bounds = None, None
         for turn in range(config.judging):  # after the first turn, without what the other judge left out
-            some = lambda part, k: (part.half == k) & part.clean(judges, bounds)  # noqa: E731, B023
+            some = lambda part, k: part.clean(judges, bounds, part.half == k)  # noqa: E731, B023
             got = each(lambda part: [part.trained(self, some(part, k), (0, 1), (turn, k)) for k in (0, 1)])  # noqa: B023
             judges = [self._mean(own, self) for own in zip(*got, strict=True)]
             tops = zip(*each(lambda part: [part.of_positives(judges[1 - k], ~part.held & (part.half == k)) for k in (0, 1)]), strict=True)  # noqa: B023
@@ -381,14 +481,15 @@ class _Part:
         copy._descend(sure, self.x[other], *span, rng)
         return copy._weights(), len(positive) + len(other)
 
-    def clean(self, judges: list[CharCNN] | None, bounds: list[float] | None) -> np.ndarray:
-        """The positives, and the other tokens that are below the bound of their half or have a common shape; without judges all."""
+    def clean(self, judges: list[CharCNN] | None, bounds: list[float] | None, of: np.ndarray | bool = True) -> np.ndarray:
+        """Of some tokens the positives, and the others that are below the bound of their half or have a common shape; without judges all."""
         if judges is None:
-            return np.ones(len(self.y), bool)
-        out = (self.y == 1) | self.common
+            return np.ones(len(self.y), bool) & of
+        out = ((self.y == 1) | self.common) & of
         for k in (0, 1):
-            rows = np.flatnonzero(~out & ~self.held & (self.half == k))
-            out[rows] = judges[1 - k].logits(self.x[rows]) < bounds[k]
+            rows = np.flatnonzero(~out & ~self.held & (self.half == k) & of)
+            a = judges[1 - k].config.around
+            out[rows] = ~judges[1 - k].reach(self.x[rows, a : a + judges[1 - k].config.inside], lambda some, rows=rows: self.x[rows[some]], bounds[k])
         return out
 
     def of_positives(self, model: CharCNN, some: np.ndarray) -> np.ndarray:
@@ -419,20 +520,26 @@ def labelled_findings(docs: DataFrame, config: SecretConfig = SecretConfig()) ->
 
         def add(text: str, s: int, e: int, label: int) -> None:
             token = label, text[s:e] if e - s <= config.inside else text[s : s + half] + text[e - half : e]
-            near = text[max(0, s - config.around) : s], text[e : e + config.around]
-            known = seen.get(token)
-            if known is None or near < known:
-                seen[token] = near
+            before, known = text[s - config.around : s] if s > config.around else text[:s], seen.get(token)
+            if known is None or before <= known[0]:
+                near = before, text[e : e + config.around]
+                if known is None or near < known:
+                    seen[token] = near
 
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                base = base_spans(text)
-                for s, e, kind in base:  # of an assignment the value without the keyword and quotes
-                    add(text, ASSIGN.match(text, s).start(2) if kind == "assign" else s, e, 1)
-                for s, e in itertools.chain(each_candidate(text, base), each_candidate(text, base, _RUN)):
-                    add(text, s, e, 0)
-                    if len(seen) >= 100_000:  # what was flushed is put together below
-                        yield flushed()
+            for part in slices(batch, "text"):
+                texts, base = part["text"].to_pylist(), base_of(part["text"])
+                for text, own in zip(texts, base, strict=True):
+                    for s, e, kind in own:  # of an assignment the value without the keyword and quotes
+                        add(text, ASSIGN.match(text, s).start(2) if kind == "assign" else s, e, 1)
+                whole = Joined(texts, base, config)
+                for start, end in (whole.tokens(), whole.tokens(_IN_RUN, _RUN_LEAST)):
+                    at = whole.texts_of(start)
+                    low = whole.first[at]
+                    for i, s, e in zip(at.tolist(), (start - low).tolist(), (end - low).tolist(), strict=True):
+                        add(texts[i], s, e, 0)
+                        if len(seen) >= 100_000:  # what was flushed is put together below
+                            yield flushed()
         yield flushed()
 
     found = docs.where("text is not null").select("text").mapInArrow(run, "y int, inside string, before string, after string")
@@ -445,14 +552,19 @@ def coded(findings: DataFrame, config: SecretConfig = SecretConfig()) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = config.around, config.around + config.inside
         for batch in batches:
-            y, inside, near = (batch[c].to_pylist() for c in ("y", "inside", "near"))
-            size = np.array([(len(n["before"]), len(t), len(n["after"])) for t, n in zip(inside, near, strict=True)], np.int64).reshape(-1, 3)
+            y, inside = (batch[c].to_pylist() for c in ("y", "inside"))
+            before, after = (pc.struct_field(batch["near"], c).to_pylist() for c in ("before", "after"))
+            size = np.array([(*map(len, x),) for x in zip(before, inside, after, strict=True)], np.int64).reshape(-1, 3)
             ends = np.cumsum(size.ravel()).reshape(-1, 3)
             at = np.stack((ends[:, 0] - size[:, 0], ends[:, 2], ends[:, 0], ends[:, 1]), 1)
-            x = encoded_rows(_codes("".join(n["before"] + t + n["after"] for t, n in zip(inside, near, strict=True))), at, config) if len(at) else ()
-            h = [zlib.crc32(row[a:b].tobytes()) for row in x]
-            shape = [int.from_bytes(hashlib.blake2b(_shape(row[a:b]), digest_size=8).digest(), "little", signed=True) for row in x]
-            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(h, pa.int64()), pa.array(shape, pa.int64()), pa.array([row.tobytes() for row in x], pa.binary())], ["y", "h", "shape", "x"])
+            x = encoded_rows(_codes("".join(itertools.chain.from_iterable(zip(before, inside, after, strict=True)))), at, config) if len(at) else np.zeros((0, a + b), np.uint8)
+            data = x[:, a:b].tobytes()
+            h = [zlib.crc32(data[i : i + b - a]) for i in range(0, len(data), b - a)]
+            shapes = _shapes(x[:, a:b])
+            known = {k: int.from_bytes(hashlib.blake2b(k, digest_size=8).digest(), "little", signed=True) for k in set(shapes)}
+            shape = [known[k] for k in shapes]
+            codes = pa.FixedSizeBinaryArray.from_buffers(pa.binary(x.shape[1]), len(x), [None, pa.py_buffer(x.tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(h, pa.int64()), pa.array(shape, pa.int64()), codes], ["y", "h", "shape", "x"])
 
     return findings.mapInArrow(run, "y int, h long, shape long, x binary")
 
@@ -503,32 +615,17 @@ def _each(rows: DataFrame) -> Callable[[Callable[[_Part], object]], list]:
 
 def _find(texts: pa.Array, model: CharCNN) -> list[list[Span]]:
     """The findings in each text of a batch, by start and kind."""
-    maybe = pc.fill_null(pc.match_substring_regex(texts, _ANY), False)
-    rows = np.flatnonzero(maybe.to_numpy(zero_copy_only=False))
-    out: list[list[Span]] = [[] for _ in range(len(texts))]
-    held: list[tuple[int, np.ndarray, np.ndarray]] = []  # text, codes, spans of candidates not scored yet
-
-    def score() -> None:
-        low = np.cumsum([0, *(len(codes) for _, codes, _ in held)])
-        at = np.concatenate([np.concatenate((np.tile(low[k : k + 2], (len(spans), 1)), spans + low[k]), 1) for k, (_, _, spans) in enumerate(held)])
-        good = model.logits(encoded_rows(np.concatenate([codes for _, codes, _ in held]), at, model.config)) >= model.threshold
-        first = 0
-        for i, _, spans in held:
-            out[i] += [(s, e, "model") for s, e in spans[good[first : first + len(spans)]].tolist()]
-            first += len(spans)
-        held.clear()
-
-    for i, text in zip(rows.tolist(), texts.take(pa.array(rows)).to_pylist(), strict=True):
-        base = base_spans(text)
-        out[i] += base
-        found, codes = each_candidate(text, base) if model.threshold < np.inf else iter(()), None
-        while some := list(itertools.islice(found, 4096)):
-            codes = _codes(text) if codes is None else codes
-            held.append((i, codes, np.array(some, np.int64)))
-            if sum(len(spans) for _, _, spans in held) >= 4096:
-                score()
-    if held:
-        score()
+    out = base_of(texts)
+    if model.threshold < np.inf:
+        whole = Joined([t or "" for t in texts.to_pylist()], out, model.config)
+        start, end = whole.tokens()
+        for i in range(0, len(start), 4096):
+            s, e = start[i : i + 4096], end[i : i + 4096]
+            good = np.flatnonzero(model.reach(whole.inside(s, e), lambda some, s=s, e=e: whole.rows(s[some], e[some]), model.threshold))
+            at = whole.texts_of(s[good])
+            low = whole.first[at]
+            for k, a, b in zip(at.tolist(), (s[good] - low).tolist(), (e[good] - low).tolist(), strict=True):
+                out[k].append((a, b, "model"))
     return [sorted(x, key=lambda z: (z[0], KINDS.index(z[2]))) for x in out]
 
 

@@ -110,3 +110,38 @@ def test_every_token_is_learned_from(spark):
     kept = [(y, x) for r in rows for y, x, first in zip(np.frombuffer(r["y"], np.int8), np.frombuffer(r["x"], np.uint8).reshape(r["n"], -1), np.frombuffer(r["first"], bool), strict=True) if first]
     assert len(rows) == 6 and len(kept) == 3003 and len({x.tobytes() for _, x in kept}) == 3003 and sum(y for y, _ in kept) == 2
     assert all(np.frombuffer(r["y"], np.int8).any() for r in rows)  # findings are dealt to every part
+
+
+def test_tokens_of_many_texts_are_those_of_each():
+    """Found in one row of codes, and encoded from it, as text by text."""
+    import re
+
+    import pyarrow as pa
+
+    config = secrets.SecretConfig(inside=41)
+    texts = ["", "\u2003\u00e9\U0001d518 abcdefgh " + "k" * 41 + "\t" + "m1" * 30, "token = abcdefgh1 password: ab\u017f tail_of_it/x", "pa\u017f\u017fword=abcdefgh", "0" * 31 + " " + "0" * 33, "AKIA" + "Z" * 12 + "-and-more", "n" * 8]
+    base = [secrets.base_spans(t) for t in texts]
+    assert secrets.base_of(pa.array(texts)) == base and secrets.base_of(pa.array([None, ""])) == [[], []]
+    whole = secrets.Joined(texts, base, config)
+    start, end = whole.tokens()
+    at = whole.texts_of(start)
+    got = [(i, s, e) for i, s, e in zip(at.tolist(), (start - whole.first[at]).tolist(), (end - whole.first[at]).tolist(), strict=True)]
+    want = [(i, s, e) for i, t in enumerate(texts) for s, e in secrets.candidates(t, base[i])]
+    assert got == want and (whole.rows(start, end) == np.array([secrets.encoded(texts[i], s, e, config) for i, s, e in want])).all()
+    start, end = secrets.Joined(texts, [[]] * len(texts), config).tokens(secrets._IN_RUN, secrets._RUN_LEAST)
+    assert (end - start).tolist() == [len(m.group()) for t in texts for m in re.finditer(r"\S{12,}", t)]
+
+
+def test_context_is_looked_at_only_where_it_can_decide():
+    rng = np.random.default_rng(8)
+    config = secrets.SecretConfig()
+    model = secrets.CharCNN(config)
+    x = rng.integers(0, 97, (300, config.inside + 2 * config.around)).astype(np.uint8)
+    size = rng.integers(8, config.inside + 1, 300)
+    x[:, config.around : config.around + config.inside][np.arange(config.inside) >= size[:, None]] = 98
+    z, seen = model.logits(x), []
+    assert np.allclose(z, model._forward(x)[3], atol=1e-4)
+    for bound in (*np.quantile(z, [0.1, 0.5, 0.99]), 1e9):
+        got = model.reach(x[:, config.around : config.around + config.inside], lambda rows: x[rows][seen.append(len(rows)) or slice(None)], float(bound))
+        assert (got == (z >= bound)).all()
+    assert seen[-1] == 0
