@@ -233,15 +233,34 @@ def _shapes(rows: np.ndarray) -> list[bytes]:
     return [data[i:j] for i, j in itertools.pairwise([0, *ends])]
 
 
-def _sums(each: np.ndarray, z: np.ndarray) -> np.ndarray:
+def _pairs(each: np.ndarray) -> list[np.ndarray]:
+    """What two characters in a row add at places 0 and 1, 2 and 3, ..., and at the end maybe what one does."""
+    return [(each[j][:, None] + each[j + 1]).reshape(_CLASSES * _CLASSES, -1) if j + 1 < len(each) else each[j] for j in range(0, len(each), 2)]
+
+
+def _sums(pairs: list[np.ndarray], z: np.ndarray, width: int) -> np.ndarray:
     """What the characters of every window of ``z`` (places, rows) add up to: places, rows, filters."""
-    n = len(z) - len(each) + 1
-    out = each[0].take(z[:n], 0)
-    for j in range(1, len(each)):
-        out += each[j].take(z[j : j + n], 0)
+    n, two = len(z) - width + 1, z[:-1] * _CLASSES + z[1:]
+    out = pairs[0].take((two if width > 1 else z)[:n], 0)
+    for k in range(1, len(pairs)):
+        j = 2 * k
+        out += pairs[k].take((two if j + 1 < width else z)[j : j + n], 0)
     return out
 
 
+class _Room:
+    """What the steps over ``rows`` of ``places`` share: room for the windows, and constants."""
+
+    def __init__(self, config: SecretConfig, rows: int, places: int):
+        n, w, filters = places - config.width + 1, config.width, config.filters
+        self.hidden, self.added = np.empty((2, n, rows, filters), np.float32)
+        #: The last bits of a value, and the places there, which count down.
+        self.last = np.int32((1 << n.bit_length()) - 1)
+        self.down = np.repeat(np.arange(n, 0, -1, dtype=np.int32), rows * filters).reshape(n, rows, filters)
+        self.row = np.arange(rows)[:, None] + np.arange(w)[:, None, None] * rows
+        self.place = np.tile(np.arange(filters), 2) + np.arange(w)[:, None, None] * filters
+
+
 class CharCNN:
     """One convolution over character vectors, maxima over the candidate and its context, one logit."""
 
@@ -259,19 +278,49 @@ class CharCNN:
         self.shift = np.zeros(config.filters, np.float32)
         self.out = rng.normal(0, 0.3, 2 * config.filters).astype(np.float32)
         self.bias = np.float32(0)
-        self.tables = None  # what logits() makes of the weights
+        self.tables = self.pairs = None  # what logits() makes of the weights
 
     def _forward(self, x: np.ndarray):
-        """The codes by places, the greatest value of each filter in the candidate and in its context, the place of each, and the logits."""
-        each, z, filters = self._each(), np.ascontiguousarray(x.T).astype(np.intp), self.config.filters
-        hidden, (a, b) = _sums(each, z), self._bounds
-        # places count down, so that of equal values the first one counts
-        down = np.arange(len(hidden), 0, -1).astype(np.uint16)[:, None, None]
-        inner, outer = hidden[a:b].max(0), np.maximum(hidden[:a].max(0), hidden[b:].max(0))
-        first = lambda top, *parts: np.maximum.reduce([((hidden[k] == top) * down[k]).max(0) for k in parts])
-        at = np.concatenate((first(inner, slice(a, b)), first(outer, slice(a), slice(b, None))), 1)
-        top = np.maximum(np.concatenate((inner, outer), 1) + np.concatenate((self.shift, self.shift)), 0)
-        return z, top, len(hidden) - at.astype(np.intp), top @ self.out + self.bias
+        """As :meth:`_steps`, of rows of codes."""
+        return self._steps(np.ascontiguousarray(x.T).astype(np.intp), self._flat(self._each()), _Room(self.config, *x.shape))
+
+    @staticmethod
+    def _flat(each: np.ndarray) -> np.ndarray:
+        """A row for each character: what it adds to each filter at each place of the kernel."""
+        return np.ascontiguousarray(each.swapaxes(0, 1)).reshape(_CLASSES, -1)
+
+    def _steps(self, z: np.ndarray, flat: np.ndarray, room: _Room):
+        """Of codes by places the place and the value of each filter's maximum in the candidate and in its context, the bins of what it is made of, and the logits.
+
+        A place's number, counting down, lies in the last bits of its value, so
+        one pass finds the greatest value and its place; the value itself is
+        then added up anew.  Of values that differ by less than 1/65536 of
+        themselves any may be taken.
+        """
+        (a, b), hidden, w = self._bounds, room.hidden, self.config.width
+        n = len(hidden)
+        each = np.ascontiguousarray(flat.reshape(_CLASSES, w, -1).swapaxes(0, 1))
+        each[0].take(z[:n], 0, hidden, "clip")
+        for j in range(1, w):
+            each[j].take(z[j : j + n], 0, room.added, "clip")
+            np.add(hidden, room.added, hidden)
+        bits = hidden.view(np.int32)
+        np.bitwise_and(bits, ~room.last, bits)
+        np.bitwise_or(bits, room.down, bits)
+        both = np.concatenate((hidden[a:b].max(0), np.maximum(hidden[:a].max(0), hidden[b:].max(0))), 1)
+        at = n - (both.view(np.int32) & room.last).astype(np.intp)
+        bins = (z * flat.shape[1]).ravel().take(at * z.shape[1] + room.row) + room.place
+        top = np.maximum(flat.ravel().take(bins).sum(0) + np.concatenate((self.shift, self.shift)), 0)
+        return at, top, bins, top @ self.out + self.bias
+
+    def _look(self) -> None:
+        """Makes the tables that logits are looked up in."""
+        if self.tables is None:
+            self.tables = self._each()
+            self.pairs = _pairs(self.tables)
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "tables": None, "pairs": None}
 
     @property
     def _bounds(self) -> tuple[int, int]:
@@ -284,11 +333,11 @@ class CharCNN:
 
     def _tops(self, x: np.ndarray) -> np.ndarray:
         """The greatest value of each filter over the windows of ``x``, without the shift."""
-        return _sums(self.tables, np.ascontiguousarray(x.T).astype(np.intp)).max(0)
+        return _sums(self.pairs, np.ascontiguousarray(x.T).astype(np.intp), self.config.width).max(0)
 
     def _inner(self, inside: np.ndarray) -> np.ndarray:
         """What the candidates themselves, without their context, add to the logits."""
-        self.tables = self._each() if self.tables is None else self.tables
+        self._look()
         size, out = (inside != 98).sum(1), np.empty(len(inside), np.float32)
         order = np.argsort(size, kind="stable")
         for i in range(0, len(order), 64):
@@ -300,7 +349,7 @@ class CharCNN:
 
     def _outer(self, x: np.ndarray) -> np.ndarray:
         """What the context adds to the logits."""
-        self.tables = self._each() if self.tables is None else self.tables
+        self._look()
         (a, b), out = self._bounds, np.empty(len(x), np.float32)
         for i in range(0, len(x), 64):
             top = np.maximum(self._tops(x[i : i + 64, : a + self.config.width - 1]), self._tops(x[i : i + 64, b:]))
@@ -343,27 +392,27 @@ class CharCNN:
             return np.concatenate([rng.permutation(n) for _ in range(-(-steps * size // n))])
 
         sure, rest = order(len(positive), config.sure), order(len(other), config.others)
+        # codes of each step, by places
+        rows = lambda x, order, size: x[order[: steps * size]].reshape(steps, size, -1)
+        codes = np.ascontiguousarray(np.concatenate((rows(positive, sure, config.sure), rows(other, rest, config.others)), 1).swapaxes(1, 2))
         y = np.repeat(np.float32([1, 0]), [config.sure, config.others])
         mass = np.repeat(np.float32([0.5 / config.sure, 0.5 / config.others]), [config.sure, config.others])
-        # bins of place in the kernel, character and filter
-        place, filter_ = np.arange(w)[:, None], np.tile(np.arange(filters), 2)
-        to = place * _CLASSES * filters + filter_
+        room = _Room(config, len(y), codes.shape[1])
+        # a row for each dimension, as of each character in _flat
+        kernel = np.ascontiguousarray(self.kernel.reshape(w, self.dim, filters).swapaxes(0, 1)).reshape(self.dim, -1)
         for step in range(steps):
             rate = np.float32(4 * config.rate * (1 - begin - (end - begin) * step / steps))
-            x = np.concatenate((positive[sure[step * config.sure : (step + 1) * config.sure]], other[rest[step * config.others : (step + 1) * config.others]]))
-            z, top, at, logit = self._forward(x)
-            error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - y) * mass
+            _, top, bins, logit = self._steps(codes[step].astype(np.intp), self.table @ kernel, room)
+            error = (1 / (1 + np.exp(np.minimum(np.maximum(-logit, -60), 60))) - y) * mass
             back = error[:, None] * self.out * (top > 0)
-            row, of = np.nonzero(back)
-            bins = z[at[row, of] + place, row] * filters + to[:, of]
-            each = np.bincount(bins.ravel(), np.tile(back[row, of], w), w * _CLASSES * filters).reshape(w, _CLASSES, filters).astype(np.float32)
-            to_kernel = (self.table.T @ each).reshape(self.kernel.shape)
-            to_table = (each @ self.kernel.reshape(w, self.dim, filters).swapaxes(1, 2)).sum(0)
+            flat = np.bincount(bins.ravel(), np.concatenate([back.ravel()] * w), _CLASSES * w * filters).astype(np.float32).reshape(_CLASSES, -1)
+            to_kernel, to_table = self.table.T @ flat, flat @ kernel.T
             self.out = self.out - rate * (error @ top)
             self.bias = np.float32(self.bias - rate * error.sum())
-            self.kernel = self.kernel - rate * to_kernel
+            kernel -= rate * to_kernel
             self.shift = self.shift - rate * (back[:, :filters] + back[:, filters:]).sum(0)
             self.table = self.table - rate * to_table
+        self.kernel = np.ascontiguousarray(kernel.reshape(self.dim, w, filters).swapaxes(0, 1)).reshape(self.kernel.shape)
         self.tables = None
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> CharCNN:
@@ -508,7 +557,7 @@ def labelled_findings(docs: DataFrame, config: SecretConfig = SecretConfig()) ->
     ``inside`` is what the network sees of a token; of its surroundings those
     are taken that sort first.
     """
-    half = config.inside // 2
+    inner, around, half = config.inside, config.around, config.inside // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[int, str], tuple[str, str]] = {}
@@ -520,11 +569,9 @@ def labelled_findings(docs: DataFrame, config: SecretConfig = SecretConfig()) ->
 
         def add(text: str, s: int, e: int, label: int) -> None:
             token = label, text[s:e] if e - s <= config.inside else text[s : s + half] + text[e - half : e]
-            before, known = text[s - config.around : s] if s > config.around else text[:s], seen.get(token)
-            if known is None or before <= known[0]:
-                near = before, text[e : e + config.around]
-                if known is None or near < known:
-                    seen[token] = near
+            near = text[s - around : s] if s > around else text[:s], text[e : e + around]
+            if token not in seen or near < seen[token]:
+                seen[token] = near
 
         for batch in batches:
             for part in slices(batch, "text"):
@@ -533,13 +580,28 @@ def labelled_findings(docs: DataFrame, config: SecretConfig = SecretConfig()) ->
                     for s, e, kind in own:  # of an assignment the value without the keyword and quotes
                         add(text, ASSIGN.match(text, s).start(2) if kind == "assign" else s, e, 1)
                 whole = Joined(texts, base, config)
-                for start, end in (whole.tokens(), whole.tokens(_IN_RUN, _RUN_LEAST)):
-                    at = whole.texts_of(start)
-                    low = whole.first[at]
-                    for i, s, e in zip(at.tolist(), (start - low).tolist(), (end - low).tolist(), strict=True):
-                        add(texts[i], s, e, 0)
+                start, end = whole.tokens()
+                begin, stop = whole.tokens(_IN_RUN, _RUN_LEAST)
+                if len(start):  # a run that is a token is not added twice
+                    at = np.minimum(np.searchsorted(start, begin), len(start) - 1)
+                    new = (start[at] != begin) | (end[at] != stop)
+                    start, end = np.concatenate((start, begin[new])), np.concatenate((end, stop[new]))
+                else:
+                    start, end = begin, stop
+                at = whole.texts_of(start)
+                low = whole.first[at]
+                # add() in place of a call, for most of the time went into calls
+                for i, s, e in zip(at.tolist(), (start - low).tolist(), (end - low).tolist(), strict=True):
+                    text = texts[i]
+                    token = 0, text[s:e] if e - s <= inner else text[s : s + half] + text[e - half : e]
+                    near = text[s - around : s] if s > around else text[:s], text[e : e + around]
+                    known = seen.get(token)
+                    if known is None:
+                        seen[token] = near
                         if len(seen) >= 100_000:  # what was flushed is put together below
                             yield flushed()
+                    elif near < known:
+                        seen[token] = near
         yield flushed()
 
     found = docs.where("text is not null").select("text").mapInArrow(run, "y int, inside string, before string, after string")

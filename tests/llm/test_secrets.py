@@ -145,3 +145,35 @@ def test_context_is_looked_at_only_where_it_can_decide():
         got = model.reach(x[:, config.around : config.around + config.inside], lambda rows: x[rows][seen.append(len(rows)) or slice(None)], float(bound))
         assert (got == (z >= bound)).all()
     assert seen[-1] == 0
+
+
+def test_a_step_is_that_of_a_plain_network():
+    """Logits by pairs of characters, and a step of training, against sums over every window."""
+    rng = np.random.default_rng(4)
+    config = secrets.SecretConfig(steps=1)
+    x = rng.integers(0, 98, (config.sure + config.others, config.inside + 2 * config.around)).astype(np.uint8)
+    y = np.repeat([1.0, 0.0], [config.sure, config.others])
+    model = secrets.CharCNN(config)
+    table, kernel, shift, out = (w.astype(np.float64) for w in (model.table, model.kernel, model.shift, model.out))
+    (a, b), w = model._bounds, config.width
+    windows = np.array([[table[row[i : i + w]].ravel() for i in range(len(row) - w + 1)] for row in x])
+    hidden = windows @ kernel
+    sides = [np.arange(a, b), np.concatenate((np.arange(a), np.arange(b, hidden.shape[1])))]
+    at = np.concatenate([side[hidden[:, side].argmax(1)] for side in sides], 1)
+    two, of = np.concatenate((shift, shift)), np.tile(np.arange(config.filters), 2)
+    top = np.maximum(np.take_along_axis(np.concatenate((hidden, hidden), 2), at[:, None], 1)[:, 0] + two, 0)
+    logit = top @ out
+    assert np.allclose(model.logits(x), logit, atol=1e-5) and np.allclose(model._forward(x)[3], logit, atol=1e-5)
+    pairs = secrets._pairs(model._each())
+    assert [len(p) for p in pairs] == [secrets._CLASSES**2] * 2 + [secrets._CLASSES]
+
+    error = (1 / (1 + np.exp(-logit)) - y) * np.where(y == 1, 0.5 / config.sure, 0.5 / config.others)
+    to_kernel, to_table = np.zeros_like(kernel), np.zeros_like(table)
+    back = error[:, None] * out * (top > 0)
+    for i, j in zip(*np.nonzero(back), strict=True):
+        to_kernel[:, of[j]] += back[i, j] * windows[i, at[i, j]]
+        np.add.at(to_table, x[i, at[i, j] : at[i, j] + w], back[i, j] * kernel[:, of[j]].reshape(w, -1))
+    rate = 4 * config.rate
+    model._descend(x[y == 1], x[y == 0], 0.0, 1.0, rng)
+    assert np.allclose(model.kernel, kernel - rate * to_kernel, atol=1e-5) and np.allclose(model.table, table - rate * to_table, atol=1e-5)
+    assert np.allclose(model.out, out - rate * error @ top, atol=1e-5) and np.allclose(model.bias, -rate * error.sum(), atol=1e-5)
