@@ -16,23 +16,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(rows: DataFrame, by: str) -> DataFrame:
-    """``rows`` dealt by ``by`` to as many partitions as the session sets for shuffles.
+#: Tasks that the words of one split of a table are dealt to.
+SPREAD = 32
 
-    Words shrink to a few bytes when they are shuffled, so what is read tells
-    little of a task's memory, and partitions may not be joined by it.
+
+def dealt(rows: DataFrame, by: str, splits: int) -> DataFrame:
+    """``rows`` dealt by ``by`` to as many partitions as the session sets for shuffles, and to ``SPREAD`` for each split that is read at least.
+
+    Texts grow many times when they are parted into words, so what is read tells
+    little of a task's memory, and partitions may not be joined by it.  A split
+    is of a bounded size, so a task's share is too, however long the table is
+    and however few partitions the session sets.
     """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), by)
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), SPREAD * splits), by)
 
 
 def conversation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of each conversation, spoken at a fixed pace (with the column turn)."""
     words = F.filter(F.split("text", "[ \t-\r]+"), lambda w: w != "")
-    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("source"), "turn", F.col("role").alias("speaker"), F.posexplode(words).alias("i", "text"))
+    said = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("source"), "turn", F.col("role").alias("speaker"), "text")
+    # whole texts are moved, and parted into words where they lie then: what is sent takes less room than the words
+    rows = dealt(said, "source", said.rdd.getNumPartitions()).select("source", "turn", "speaker", F.posexplode(words).alias("i", "text"))
     last = F.substring("text", -1, 1)
     rows = rows.withColumn("length", 60 * F.length("text")).withColumn("step", F.col("length") + F.when(last.isin(".", "!", "?"), 600).when(last.isin(",", ";", ":"), 250).otherwise(40))
     order = Window.partitionBy("source").orderBy("turn", "i")
-    rows = dealt(rows, "source")
     start = F.coalesce(F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
     return rows.select("source", F.row_number().over(order).alias("pos"), F.lit("word").alias("type"), "text", start.alias("start"), (start + F.col("length")).alias("stop"), "speaker", "turn")
 

@@ -286,3 +286,20 @@ def test_turns_of_tokens_stay_in_many_tasks(spark, sf_dir):
     from spanloom.sources.tables import conversation_tokens, turns
 
     assert turns(conversation_tokens(spark, sf_dir)).select(F.spark_partition_id()).distinct().count() > 2
+
+
+def test_words_are_dealt_to_more_tasks_as_more_is_read(spark, tmp_path):
+    """A session that sets few partitions gets more of them for a longer table, so the words of a task stay bounded."""
+    from spanloom.sources.tables import SPREAD, conversation_tokens
+
+    rows = spark.range(400).selectExpr("id as conv_id", "0L as turn", "'user' as role", "'one two three' as text")
+    found = []
+    with_few = spark.newSession()
+    with_few.conf.set("spark.sql.shuffle.partitions", "3")
+    with_few.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))  # a file is a split
+    for files in (1, 4):
+        rows.repartition(files).write.parquet(f"{tmp_path}/{files}/conversations.parquet")
+        tokens = conversation_tokens(with_few, f"{tmp_path}/{files}")
+        assert tokens.count() == 1200
+        found.append(tokens.rdd.getNumPartitions())
+    assert found == [SPREAD, 4 * SPREAD]
