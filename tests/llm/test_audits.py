@@ -124,3 +124,41 @@ def test_tiles_of_large_numbers_are_exact():
     for top in (1, 100, 10_000, 10**8, 10**12):
         kind, data = negatives._narrow(np.array([[-top, top]]))
         assert np.frombuffer(data, kind).tolist() == [-top, top]
+
+
+def test_negatives_equal_plain_over_many_cells(spark):
+    rng = np.random.default_rng(6)
+    rows = negative_rows(9) + [(1000 + i, i % 3, [0.25] * 9) for i in range(150)]  # many of equal scores
+    rows += [(2000 + i, 5 + i % 2, [i / 100.0] * 9) for i in range(150)]  # scores that rise with the id
+    rows += [(3000 + i, 20 + i, rng.normal(size=9).tolist()) for i in range(30)]  # labels of one row each
+    for size in (1.0, 1e3, 1e5):  # tiles of floats of 32 and 64 bits and of integers
+        own = [(i, g, [x * size for x in v]) for i, g, v in rows]
+        own = [(i, g, v) for i, g, v in own if max(map(abs, v)) <= 1 << 17]
+        whole = [(i, g, [int(np.floor(x * 256)) for x in v]) for i, g, v in own]
+        table = spark.createDataFrame(own, "vec_id long, label int, embedding array<double>").repartition(3)
+        config = negatives.NegativesConfig(anchor_block=4, row_block=16, chunk=4, anchor_band=3, row_band=4)
+        got = negatives.hard_negatives(table, F.col("vec_id") % 10 == 0, config).collect()
+        assert sorted(tuple(r) for r in got) == sorted(brute.hard_negatives(whole, lambda i: i % 10 == 0))
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64, np.int64])
+def test_best_of_tiles(kind):
+    rng = np.random.default_rng(7)
+    tiles = [rng.integers(-9, 9, (5, w)) for w in (40, 3, 200, 1, 200)] + [np.full((5, 50), 4)] + [np.arange(k, k + 90) // 6 * np.ones((5, 1), int) for k in range(0, 900, 90)]
+    over, high = np.array([-20, -3, 3, 60, 4]), np.array([2000, 5, 3, 120, 4000])
+    best, at, seen = negatives._Best(3, over.astype(kind), high.astype(kind)), 0, []
+    for tile in tiles:
+        best.add(tile.astype(kind), np.arange(at, at + tile.shape[1]) * 2)
+        seen += [(r, -int(x), 2 * (at + c)) for r, row in enumerate(tile) for c, x in enumerate(row) if over[r] < x <= high[r]]
+        at += tile.shape[1]
+    want = [x for r in range(5) for x in sorted(y for y in seen if y[0] == r)[:3]]
+    assert [(r, -s, i) for r, i, s in zip(*(x.tolist() for x in best.found()), strict=True)] == want
+
+
+def test_negatives_move_no_tiles(spark):
+    rng = np.random.default_rng(8)
+    table = spark.createDataFrame([(i, i % 4, rng.normal(size=8).tolist()) for i in range(8000)], "vec_id long, label int, embedding array<double>").repartition(4)
+    moved = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = moved()
+    assert negatives.hard_negatives(table, F.col("vec_id") % 4 == 0).select("anchor_id").distinct().count() == 2000
+    assert moved() - before < 8000 * 2000  # a byte for each pair
