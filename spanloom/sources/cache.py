@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -22,10 +24,11 @@ class _Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceWriter):
-    """Tasks write temporary files; the driver links them to their names when all tasks are done."""
+    """Tasks write temporary files into a folder of the run; the driver links them to their names when all tasks are done."""
 
     def __init__(self, folder: str):
-        self.folder, self.run = folder, uuid.uuid4().hex
+        self.folder, self.run = folder, f".{uuid.uuid4().hex}"
+        (Path(folder) / self.run).mkdir()
 
     def write(self, rows: Iterator[Row]) -> _Written:
         names = []
@@ -35,7 +38,7 @@ class _Writer(DataSourceWriter):
             final = f"{row['stem']}.json"
             if (Path(self.folder) / final).exists():
                 continue  # written before: never touched again
-            own = f".{self.run}-{uuid.uuid4().hex}"
+            own = f"{self.run}/{uuid.uuid4().hex}"
             with open(Path(self.folder) / own, "w", encoding="utf-8") as f:
                 f.write(row["content"] or "null")
                 f.flush()
@@ -55,9 +58,12 @@ class _Writer(DataSourceWriter):
         self._clear()
 
     def _clear(self) -> None:
-        """The temporary files of this run, of failed attempts too."""
-        for left in Path(self.folder).glob(f".{self.run}-*"):
-            left.unlink(missing_ok=True)
+        """The temporary files of this run, of failed attempts too; tasks that still run can make no more."""
+        own = Path(self.folder) / self.run
+        gone = own.with_name(f"{own.name}-gone")
+        with suppress(FileNotFoundError):
+            own.rename(gone)  # at once, so none comes between listing and removal
+        shutil.rmtree(gone, ignore_errors=True)
 
 
 class WriteOnce(DataSource):

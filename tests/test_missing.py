@@ -9,6 +9,7 @@ from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from spanloom.operators import checks, sessions, signals, slips, spans, stretches
@@ -157,6 +158,19 @@ def test_two_writers_and_an_aborted_job(spark, tmp_path):
     assert list((tmp_path / "none").iterdir()) == []
 
 
+def test_a_task_that_outlives_its_job_leaves_no_file(tmp_path):
+    writer = cache._Writer(str(tmp_path))
+
+    def rows():
+        yield Row(stem="a", content="x")
+        writer.abort([])
+        yield Row(stem="b", content="y")
+
+    with pytest.raises(FileNotFoundError):
+        writer.write(rows())
+    assert list(tmp_path.iterdir()) == []
+
+
 PROVIDER = '''
 import json, pathlib
 
