@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from spanloom.llm import bpe, langid, minhash, mixing, secrets
 from spanloom.llm.queries import RANKS, table
 from spanloom.llm.sampling import maybe_in, remainder
-from spanloom.llm.shared import discard, scratch, stored
+from spanloom.llm.shared import discard, scratch, small_batches, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +41,22 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = maybe_in(docs.select(F.struct("*").alias("row"), "doc_id"), texts.where("low <> high"), "doc_id")
     own = F.when(F.col("maybe") | F.col("doc_id").isNull(), F.xxhash64("doc_id", "row.text")).otherwise(F.col("doc_id").cast("long"))
     known = rows.select(own.alias("doc_id"), "row")
-    found = minhash.near_duplicates(known.select("doc_id", "row.text"), minhash.NearConfig(shingle=5, percent=80, bands=32, rows=5))
-    stay = found.where("kept").select("doc_id").distinct()
+    with small_batches(spark):  # sets are large rows
+        found = minhash.near_duplicates(known.select("doc_id", "row.text"), minhash.NearConfig(shingle=5, percent=80, bands=32, rows=5))
+    fate = stored(found.groupBy("doc_id").agg(F.max("kept").alias("stays"), F.count("*").alias("n")), "fate")
+    # most rows stay and are alone with their id: they are passed on as they are read, only the others are moved
+    looked = maybe_in(known, fate.where("not stays or n > 1"), "doc_id")
+    moved = looked.where("maybe").select("doc_id", "row").join(fate.where("stays").select("doc_id"), "doc_id", "left_semi")
     # rows that are equal in both differ in other columns at most
-    return known.join(stay, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    one = moved.groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return looked.where("not maybe").select("row").unionByName(one.select("row")).select("row.*")
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks the secrets found in the texts."""
-    masked = secrets.redact(docs, secrets.fit(docs.select("doc_id", "text")))
+    with small_batches(spark):
+        model = secrets.fit(docs.select("doc_id", "text"))
+    masked = secrets.redact(docs, model)
     return masked.withColumn("n_chars", F.length("text").cast(masked.schema["n_chars"].dataType))
 
 

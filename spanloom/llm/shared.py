@@ -92,3 +92,15 @@ def discard(df: DataFrame | None) -> None:
         if drop in actions:
             actions.remove(drop)
             drop()
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Has what is written inside go to Python in batches of about ``size`` bytes, which are held on either side."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -131,3 +131,18 @@ def test_tables_go_with_their_block(spark):
     shared.discard(kept)
     assert not os.path.exists(paths[1])
     assert spark.range(3).agg(F.sum("id")).first()[0] == 3
+
+
+def test_near_copies_move_only_rows_that_are_not_alone(spark):
+    rng = np.random.default_rng(12)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 3000).tolist())) for _ in range(600)]
+    rows = [*enumerate(texts), (600, texts[3]), (601, texts[4] + " and more"), (5, texts[5]), (6, texts[7] + " x y"), (None, texts[8]), (None, "a b c d e f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    moved = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before, setting = moved(), spark.conf.get(key)
+    got = corpus_pipeline.near_copies(spark, docs, "").collect()
+    assert moved() - before < sum(map(len, texts)) / 5 and spark.conf.get(key) == setting
+    # of each group of copies one stays: 3, 4, 5, 7 and 8 have others
+    words = sorted(r["text"].split()[0] for r in got)
+    assert words == sorted([*[t.split()[0] for k, t in enumerate(texts)], "a"])
