@@ -101,6 +101,7 @@ def slices(batch: pa.RecordBatch, column: str, rows: int = 256, limit: int = 2 *
     unit = 4 if pa.types.is_list(kind) else 1
     sizes = (pc.list_value_length if unit > 1 else pc.binary_length)(batch[column])
     sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64) * unit
+    pa.default_memory_pool().release_unused()  # a worker would keep what earlier batches and tasks took
     start = size = 0
     for i, n in enumerate(sizes.tolist()):
         if i - start >= rows or (i > start and size + n > limit):

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanloom.llm import minhash, queries, shared
+from spanloom.llm import minhash, queries, shared, vectors
 from tests.llm import brute
 
 #: More than 2^20 words, a third of them in repeated windows, in lines; no white space for 2^20 characters; 2^20 words of one kind.
@@ -146,3 +146,11 @@ def test_near_copies_move_only_rows_that_are_not_alone(spark):
     # of each group of copies one stays: 3, 4, 5, 7 and 8 have others
     words = sorted(r["text"].split()[0] for r in got)
     assert words == sorted([*[t.split()[0] for k, t in enumerate(texts)], "a"])
+
+
+def test_slices_give_back_what_earlier_batches_took(monkeypatch):
+    calls = []
+    pool = type("Pool", (), {"release_unused": lambda self: calls.append(1)})()
+    monkeypatch.setattr(vectors.pa, "default_memory_pool", lambda: pool)
+    batch = vectors.pa.RecordBatch.from_arrays([vectors.pa.array(["a b", None, "c"])], ["text"])
+    assert [p["text"].to_pylist() for p in vectors.slices(batch, "text", rows=2)] == [["a b", None], ["c"]] and calls == [1]
